@@ -7,6 +7,7 @@ database, or delimited files) and hands out the cleaned version of each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,13 @@ class CourierTables:
     spark: SparkSession
     raw_frames: dict[str, DataFrame]
     clean_frames: dict[str, DataFrame] = field(default_factory=dict)
+    raw_builders: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "CourierTables":
-        return cls(spark, adapter.raw_tables(spark, sf_dir))
+        """Raw tables derived from the driver's parquet tables, built on first use."""
+        builders = {t: (lambda t=t: adapter.raw_table(spark, sf_dir, t)) for t in TABLES}
+        return cls(spark, {}, raw_builders=builders)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, clean_suffix: str | None = "_clean") -> "CourierTables":
@@ -43,11 +47,13 @@ class CourierTables:
         return cls(spark, {t: csv_files.read_table(spark, t, p) for t, p in paths.items()})
 
     def raw(self, name: str) -> DataFrame:
+        if name not in self.raw_frames:
+            self.raw_frames[name] = self.raw_builders[name]()
         return self.raw_frames[name]
 
     def clean(self, name: str) -> DataFrame:
         if name not in self.clean_frames:
-            self.clean_frames[name] = clean_table(self.raw_frames[name], name)
+            self.clean_frames[name] = clean_table(self.raw(name), name)
         return self.clean_frames[name]
 
     # shorthands for the two fact tables and two device tables

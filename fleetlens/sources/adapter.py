@@ -14,15 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import SCHEMAS
 
 
 def _h(x: Column) -> Column:
-    return F.floor(x / 3600).cast("int")
+    return (x / 3600).cast("int")          # x ≥ 0, so truncation is floor
 
 
 def _m(x: Column) -> Column:
-    return F.floor((x % 3600) / 60).cast("int")
+    return ((x % 3600) / 60).cast("int")
 
 
 def _s(x: Column) -> Column:
@@ -38,66 +37,69 @@ def _txt(x: Column) -> Column:
     return x.cast("string")
 
 
-def _with_copies(df: DataFrame, copy_when: Column) -> DataFrame:
-    """Emit each row once, and a second time when ``copy_when`` holds.
+def _rows(df: DataFrame, fields: dict[str, Column], copy_when: Column) -> DataFrame:
+    """One output row per input row, two when ``copy_when`` holds.
 
-    Written as one explode instead of a union, so the source is scanned once.
+    The row's base values are built as one struct inside an ``inline``
+    generator: the source is scanned once (no union), and everything
+    computed from the generated columns is plain attribute arithmetic.
+    Predicates applied later (the cleaning rules) cannot be pushed below the
+    generator, so they never inline the derivation arithmetic; that keeps the
+    generated code of every stage small enough to be JIT-compiled.
     """
-    return (df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(copy_when, 2).otherwise(1))))
-              .drop("_copy"))
-
-
-def _lineitem_base(lineitem: DataFrame) -> DataFrame:
-    ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    return lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag",
-        ((ok * 7919 + ln * 1009) % 86400).alias("_a0"),       # acceptance
-        (60 + (pk * 31) % 900).alias("_d1"),                   # to arrival
-        (30 + (ok * 13) % 600).alias("_d2"),                   # to pickup
-        (300 + (pk * 17 + ok) % 1800).alias("_d3"),            # to delivery
-        (5 + (pk * 7) % 240).alias("_df"),                     # to feedback
-    ).withColumns({
-        "_city": _txt(1 + sk % 9),
-        "_day": (1 + ok % 7).cast("int"),
-        "_courier": F.concat(F.lit("c"), _txt(sk)),
-        "_shop": F.concat(F.lit("s"), _txt(pk % 200)),
-    })
+    row = F.struct(*[c.alias(n) for n, c in fields.items()])
+    return df.select(F.inline(F.array_repeat(row, F.when(copy_when, 2).otherwise(1))))
+
+
+def _lineitem_keys() -> dict[str, Column]:
+    ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    return {
+        "city_id": _txt(1 + sk % 9),
+        "day": (1 + ok % 7).cast("int"),
+        "courier_id": F.concat(F.lit("c"), _txt(sk)),
+        "shop_id": F.concat(F.lit("s"), _txt(pk % 200)),
+        "_a0": (ok * 7919 + F.col("l_linenumber") * 1009) % 86400,   # acceptance, s of day
+    }
 
 
 def courier_report(lineitem: DataFrame) -> DataFrame:
-    b = _lineitem_base(lineitem)
+    ok, pk, ln, flag = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"))
+    no = ok.cast("int")
+    base = _rows(lineitem, {
+        "no": no, **_lineitem_keys(),
+        "_d1": 60 + (pk * 31) % 900,                   # to arrival
+        "_d2": 30 + (ok * 13) % 600,                   # to pickup
+        "_d3": 300 + (pk * 17 + ok) % 1800,            # to delivery
+        "_bad_acceptance": (flag == "R") & (ln == 7),
+        "_no_delivery": (flag == "A") & (ln == 6),
+    }, no % 50 == 0)
     a0, d1, d2, d3 = (F.col(c) for c in ("_a0", "_d1", "_d2", "_d3"))
     arr = (a0 + d1) % 86400
     pick = (a0 + d1 + d2) % 86400
     dlv = (a0 + d1 + d2 + d3) % 86400
-    flag, ln = F.col("l_returnflag"), F.col("l_linenumber")
     acc = _clock("acceptance", a0)
-    acc[0] = F.when((flag == "R") & (ln == 7), F.lit(-100)).otherwise(_h(a0)).alias("acceptance_hour")
+    acc[0] = F.when(F.col("_bad_acceptance"), F.lit(-100)).otherwise(_h(a0)).alias("acceptance_hour")
     dl = _clock("delivery", dlv)
-    dl[0] = F.when((flag == "A") & (ln == 6), F.lit(None).cast("int")).otherwise(_h(dlv)).alias("delivery_hour")
-    out = b.select(
-        F.col("l_orderkey").cast("int").alias("no"),
-        F.col("_city").alias("city_id"), F.col("_day").alias("day"),
-        F.col("_courier").alias("courier_id"), F.col("_shop").alias("shop_id"),
-        *acc, *_clock("arrier", arr), *_clock("pickup", pick), *dl,
-    )
-    return _with_copies(out, F.col("no") % 50 == 0).select(*SCHEMAS["courier_report"].names)
+    dl[0] = F.when(F.col("_no_delivery"), F.lit(None).cast("int")).otherwise(_h(dlv)).alias("delivery_hour")
+    return base.select("no", "city_id", "day", "courier_id", "shop_id",
+                       *acc, *_clock("arrier", arr), *_clock("pickup", pick), *dl)
 
 
 def courier_feedback(lineitem: DataFrame) -> DataFrame:
-    b = _lineitem_base(lineitem).where(
-        ((F.col("l_orderkey") + F.col("l_linenumber")) % 3 == 0) & (F.col("l_suppkey") % 9 < 8))
-    a0, dfb = F.col("_a0"), F.col("_df")
-    ok = F.col("l_orderkey")
-    out = b.select(
-        F.col("_city").alias("city_id"), F.col("_day").alias("day"),
-        F.col("_courier").alias("courier_id"), F.col("_shop").alias("shop_id"),
-        *_clock("acceptance", a0), *_clock("feedback", (a0 + dfb) % 86400),
-        F.when(ok % 10 == 0, 2).when(ok % 10 < 4, 0).otherwise(1).cast("int").alias("feedback"),
-        (F.col("l_quantity") * 24.0).alias("distance_to_merchant"),
-        (F.col("l_linenumber") - 4).cast("int").alias("gps_measure_offset"),
-    )
-    return _with_copies(out, F.col("gps_measure_offset") == 3).select(*SCHEMAS["courier_feedback"].names)
+    ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
+    offset = (ln - 4).cast("int")
+    kept = lineitem.where(((ok + ln) % 3 == 0) & (F.col("l_suppkey") % 9 < 8))
+    base = _rows(kept, {
+        **_lineitem_keys(),
+        "_df": 5 + (pk * 7) % 240,                     # to feedback
+        "feedback": F.when(ok % 10 == 0, 2).when(ok % 10 < 4, 0).otherwise(1).cast("int"),
+        "distance_to_merchant": F.col("l_quantity") * 24.0,
+        "gps_measure_offset": offset,
+    }, offset == 3)
+    a0 = F.col("_a0")
+    return base.select("city_id", "day", "courier_id", "shop_id",
+                       *_clock("acceptance", a0), *_clock("feedback", (a0 + F.col("_df")) % 86400),
+                       "feedback", "distance_to_merchant", "gps_measure_offset")
 
 
 def courier_device(customer: DataFrame) -> DataFrame:
