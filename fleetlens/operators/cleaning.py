@@ -95,7 +95,7 @@ def clean_table(df: DataFrame, table: str) -> DataFrame:
 def clean_audit(raw: dict[str, DataFrame]) -> DataFrame:
     """L-7 as data: per table, how many rows each cleaning step removes.
 
-    Columns: table, raw_rows, null_rows, duplicate_rows, invalid_rows,
+    Columns: table_name, raw_rows, null_rows, duplicate_rows, invalid_rows,
     clean_rows. Steps are counted in cleaning order: NULL rows first, then
     duplicates among complete rows, then distinct complete rows failing the
     validity rule. One grouping on the full row per table (partial
@@ -116,7 +116,7 @@ def clean_audit(raw: dict[str, DataFrame]) -> DataFrame:
             F.count(F.when(complete & ~F.col("_valid"), 1)).alias("invalid_rows"),
             F.count(F.when(complete & F.col("_valid"), 1)).alias("clean_rows"),
         )
-        parts.append(summary.select(F.lit(table).alias("table"), *[
+        parts.append(summary.select(F.lit(table).alias("table_name"), *[
             F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
             for c in ("raw_rows", "null_rows", "duplicate_rows", "invalid_rows", "clean_rows")]))
     return reduce(DataFrame.unionByName, parts)

@@ -207,6 +207,89 @@ SELECT courier_id, order_count, avg_work_duration_seconds,
 FROM s""")
 
 
+def _audit_part(name: str, raw: str, complete: str, rule: str) -> str:
+    return f"""SELECT '{name}' AS table_name,
+       (SELECT count(*) FROM {raw}) AS raw_rows,
+       (SELECT count(*) FROM {raw} WHERE NOT ({complete})) AS null_rows,
+       (SELECT count(*) FROM {raw} WHERE {complete})
+         - (SELECT count(*) FROM (SELECT DISTINCT * FROM {raw} WHERE {complete})) AS duplicate_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM {raw} WHERE {complete}) WHERE NOT ({rule})) AS invalid_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM {raw} WHERE {complete}) WHERE {rule}) AS clean_rows"""
+
+
+def clean_audit_sql() -> str:
+    fb_rule = (_ge0(stage_columns(FEEDBACK_STAGES) + ["feedback"])
+               + " AND distance_to_merchant >= 0 AND distance_to_merchant <= 1000")
+    parts = [
+        _audit_part("courier_device", "courier_device", _not_null(_CDEV_COLS), "true"),
+        _audit_part("merchant_device", "merchant_device", _not_null(_MDEV_COLS), "true"),
+        _audit_part("courier_feedback", "courier_feedback",
+                    _not_null(_FEEDBACK_COLS, ["distance_to_merchant"]), fb_rule),
+        _audit_part("courier_report", "courier_report", _not_null(_REPORT_COLS),
+                    _ge0(stage_columns(REPORT_STAGES))),
+    ]
+    return with_base("\nUNION ALL\n".join(parts))
+
+
+def _minutes(prefix):
+    return f"cast({prefix}_hour * 60 + {prefix}_minute as int)"
+
+
+def _evening(prefix):
+    t, a = _minutes(prefix), _minutes("acceptance")
+    return f"case when {a} > 1080 and {t} < 120 then {t} + 1440 else {t} end"
+
+
+def feature_frame_sql(with_feedback: bool) -> str:
+    if not with_feedback:
+        return with_base(f"""
+SELECT try_cast(city_id as int) AS city_id, day, courier_id, shop_id,
+       {_minutes("acceptance")} AS acceptance_time, {_evening("arrier")} AS arrier_time,
+       {_evening("pickup")} AS pickup_time, {_evening("delivery")} AS delivery_time
+FROM report_clean""")
+    on = " AND ".join(f"r.{k} = f.{k}" for k in ["city_id", "day", "courier_id", "shop_id",
+                                                 "acceptance_hour", "acceptance_minute", "acceptance_second"])
+    return with_base(f""", joined AS (
+  SELECT r.city_id, r.day, r.courier_id, r.shop_id,
+         r.acceptance_hour, r.acceptance_minute, r.acceptance_second,
+         r.arrier_hour, r.arrier_minute, r.arrier_second, r.pickup_hour, r.pickup_minute, r.pickup_second,
+         r.delivery_hour, r.delivery_minute, r.delivery_second,
+         case when f.feedback_hour is null then 0 else 1 end AS has_system_notification,
+         coalesce(f.feedback_hour, 24) AS feedback_hour, coalesce(f.feedback_minute, 0) AS feedback_minute,
+         coalesce(f.feedback_second, 0) AS feedback_second, coalesce(f.feedback, 2) AS feedback,
+         coalesce(f.distance_to_merchant, 0.0) AS distance_to_merchant,
+         coalesce(f.gps_measure_offset, 0) AS gps_measure_offset
+  FROM report_clean r LEFT JOIN feedback_clean f ON {on})
+SELECT try_cast(city_id as int) AS city_id, day, courier_id, shop_id, feedback, distance_to_merchant,
+       gps_measure_offset, has_system_notification,
+       {_minutes("acceptance")} AS acceptance_time, {_evening("arrier")} AS arrier_time,
+       {_evening("pickup")} AS pickup_time, {_evening("feedback")} AS feedback_time,
+       {_evening("delivery")} AS delivery_time
+FROM joined""")
+
+
+def baseline_metrics_sql() -> str:
+    ff = feature_frame_sql(False)
+    body = ff[ff.index("SELECT try_cast"):]
+    return with_base(f""", ff AS ({body}),
+g AS (SELECT avg(delivery_time - pickup_time) AS gap FROM ff),
+p AS (SELECT cast(delivery_time as double) AS y, pickup_time + g.gap AS p FROM ff, g)
+SELECT 'all' AS split, 'pickup_plus_mean_gap' AS model,
+       avg(abs(y - p)) AS mae, avg((y - p) * (y - p)) AS mse, sqrt(avg((y - p) * (y - p))) AS rmse,
+       1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2
+FROM p""")
+
+
+def _clean_after_faults_sql(table: str) -> str:
+    if table == "merchant_device":
+        # the sentinel rows are complete and pass (no rule): one survives the dedupe
+        return with_base("""
+SELECT * FROM merchant_device_clean
+UNION ALL
+SELECT -100, 'error', -100, 'error', 'error', 'error', 'error', 'error'""")
+    return with_base(f"SELECT * FROM {'report_clean' if table == 'courier_report' else 'feedback_clean'}")
+
+
 def oracle_queries() -> dict[str, str]:
     q = {
         "dataset_summary": with_base("""
@@ -263,5 +346,12 @@ SELECT day, shop_id, shop_day_count FROM r WHERE rk <= 3"""),
         "clean_merchant_device": with_base("SELECT * FROM merchant_device_clean"),
         "clean_courier_feedback": with_base("SELECT * FROM feedback_clean"),
         "clean_courier_report": with_base("SELECT * FROM report_clean"),
+        "clean_audit": clean_audit_sql(),
+        "clean_after_faults_courier_feedback": _clean_after_faults_sql("courier_feedback"),
+        "clean_after_faults_courier_report": _clean_after_faults_sql("courier_report"),
+        "clean_after_faults_merchant_device": _clean_after_faults_sql("merchant_device"),
+        "feature_frame_with_feedback": feature_frame_sql(True),
+        "feature_frame_report_only": feature_frame_sql(False),
+        "baseline_model_metrics": baseline_metrics_sql(),
     }
     return q

@@ -14,7 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.cleaning import clean_audit, clean_table
+from ..operators.faults import inject_faults
 from . import analytics as A
+from . import models as M
+from .features import feature_frame
 from .tables import CourierTables
 
 CHECK_MIN_COUNT = 260
@@ -61,5 +65,55 @@ ANALYTICS: dict[str, Query] = {
 }
 
 
+FAULT_TABLES = ("courier_feedback", "courier_report", "merchant_device")
+
+
+def _faults(table: str) -> Query:
+    return _on(lambda t: inject_faults(t.raw(table)))
+
+
+def _clean_after_faults(table: str) -> Query:
+    return _on(lambda t: clean_table(inject_faults(t.raw(table)), table))
+
+
+def _features(with_feedback: bool) -> Query:
+    return _on(lambda t: feature_frame(t.report, t.feedback if with_feedback else None))
+
+
+def _predictions(with_feedback: bool) -> Query:
+    def build(t: CourierTables):
+        preds, _ = M.run_models(feature_frame(t.report, t.feedback if with_feedback else None),
+                                with_feedback, seed=42 if with_feedback else 20)
+        return preds
+    return _on(build)
+
+
+def _metrics(with_feedback: bool) -> Query:
+    def build(t: CourierTables):
+        preds, trained = M.run_models(feature_frame(t.report, t.feedback if with_feedback else None),
+                                      with_feedback, seed=42 if with_feedback else 20)
+        return M.model_metrics(preds, trained)
+    return _on(build)
+
+
+QUALITY: dict[str, Query] = {
+    "clean_audit": _on(lambda t: clean_audit({n: t.raw(n) for n in
+                                              ("courier_device", "merchant_device",
+                                               "courier_feedback", "courier_report")})),
+    **{f"inject_faults_{n}": _faults(n) for n in FAULT_TABLES},
+    **{f"clean_after_faults_{n}": _clean_after_faults(n) for n in FAULT_TABLES},
+}
+
+MODELS: dict[str, Query] = {
+    "feature_frame_with_feedback": _features(True),
+    "feature_frame_report_only": _features(False),
+    "baseline_model_metrics": _on(lambda t: M.baseline_metrics(feature_frame(t.report))),
+    "delivery_predictions_with_feedback": _predictions(True),
+    "delivery_predictions_report_only": _predictions(False),
+    "model_metrics_with_feedback": _metrics(True),
+    "model_metrics_report_only": _metrics(False),
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return dict(ANALYTICS)
+    return {**ANALYTICS, **QUALITY, **MODELS}
