@@ -10,8 +10,11 @@ into one task:
 
 1. stack the columns as ``(column index, value)`` and pre-aggregate to a
    histogram ``(column, value) → copies`` (hot values collapse map-side);
-2. range-partition the histogram on ``(column, value)`` and number the
-   partitions;
+2. range-partition the histogram on ``(column, value)`` and checkpoint it
+   into the shared checkpoint folder: the partition numbers of the stored
+   frame are fixed, so both branches below see the same value ranges (two
+   separately sampled range exchanges could disagree), and the lineage is
+   cut before the reads that follow;
 3. copies per ``(partition, column)`` → running offsets and column totals,
    joined back with a broadcast bounded by partitions × columns rows;
 4. a running sum inside each partition gives each value's global
@@ -20,6 +23,7 @@ into one task:
 
 Every step is a distributed aggregate, sort or window over one partition's
 share of the distinct values; only the last one-row aggregate is global.
+Exact mode writes the histogram when the frame is built (an eager job).
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def quantile_name(col: str, p: float) -> str:
     pct = round(p * 100, 6)
@@ -50,7 +56,8 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -
         for i, c in enumerate(cols)])).alias("_e")).select("_e._c", "_e._v")
     hist = (stacked.where(F.col("_v").isNotNull())
                    .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    ranged = (hist.repartitionByRange(partitions, "_c", "_v")
+    ensure_checkpoint_dir(spark)
+    ranged = (hist.repartitionByRange(partitions, "_c", "_v").checkpoint(eager=True)
                   .withColumn("_pid", F.spark_partition_id()))
     by_col = Window.partitionBy("_c")
     offsets = (ranged.groupBy("_pid", "_c").agg(F.sum("_n").alias("_pn"))

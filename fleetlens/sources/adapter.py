@@ -128,8 +128,22 @@ def merchant_device(part: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guarantee enough input tasks for the cores available.
+
+    A source stored as one large row group yields a single scan task, which
+    would run the whole derivation and the map side of every aggregate alone.
+    When the scan has fewer splits than the cluster has cores, the (already
+    column-pruned) rows are spread round-robin once; Spark sorts before a
+    round-robin exchange, so a retried task re-sends the same rows. At scale
+    the scan has far more splits than cores and nothing is added.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 _BUILDERS = {
