@@ -6,8 +6,10 @@
 1. count right rows per key (partial aggregation, then a shuffle of one
    row per key per task);
 2. a key is hot when it holds more than ``max(min_hot_rows, total /
-   max_hot_keys)`` rows, so at most ``max_hot_keys`` keys are hot: that is
-   the proven bound for broadcasting the hot-key list;
+   max_hot_keys)`` rows, so at most ``max_hot_keys`` keys are hot. The hot
+   keys are fetched first (a small job returning at most ``max_hot_keys``
+   rows, like the runtime statistics AQE plans from). With none, the plan is
+   a plain join; otherwise the key list is the proven-size broadcast below;
 3. cold keys join normally (sort-merge at scale; AQE may still split a
    skewed *left* partition, which it can do for inner and left joins);
 4. hot right rows are pre-aggregated to distinct rows with a multiplicity,
@@ -45,7 +47,12 @@ def skew_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
                    min_hot_rows: int = 100_000) -> DataFrame:
     if how not in ("inner", "left"):
         raise ValueError("skew_safe_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(right, on, max_hot_keys, min_hot_rows).withColumn(HOT, F.lit(True)))
+    found = hot_keys(right, on, max_hot_keys, min_hot_rows)
+    keys = found.collect()                     # at most max_hot_keys rows by construction
+    if not keys:
+        return left.join(right, on, how)
+    key_frame = left.sparkSession.createDataFrame(keys, found.schema)
+    hot = F.broadcast(key_frame.withColumn(HOT, F.lit(True)))
     lm = left.join(hot, on, "left")
     rm = right.join(hot, on, "left")
     is_cold = F.col(HOT).isNull()

@@ -23,6 +23,8 @@ SCALE_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frames no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Full-row dedupe of the wide fact tables fuses generator, filter and a
     # 17-key partial aggregate into one generated method above HotSpot's
     # 8000-byte JIT limit; without this flag that stage runs interpreted

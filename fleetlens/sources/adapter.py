@@ -138,8 +138,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     round-robin exchange, so a retried task re-sends the same rows. At scale
     the scan has far more splits than cores and nothing is added.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the scan as it is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
