@@ -59,9 +59,10 @@ def response_seconds() -> Column:
 
 
 def time_text(prefix: str) -> Column:
-    """``HH:mm:ss`` text of a stage (P-3); NULL when out of clock range."""
-    h, m, s = _parts(prefix)
-    return F.when(in_clock_range(prefix), F.format_string("%02d:%02d:%02d", h, m, s))
+    """``HH:mm:ss`` text of a stage (P-3); NULL when out of clock range (so
+    the two-character pad never truncates)."""
+    parts = [F.lpad(F.col(f"{prefix}_{p}").cast("string"), 2, "0") for p in ("hour", "minute", "second")]
+    return F.when(in_clock_range(prefix), F.concat_ws(":", *parts))
 
 
 def minutes_of_day(prefix: str) -> Column:

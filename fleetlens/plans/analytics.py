@@ -15,6 +15,7 @@ from ..functions.scoring import clamped_score, weighted_sum
 from ..functions.timeops import duration_seconds, response_seconds, time_text
 from ..operators.quantiles import quantile_bounds, quantile_name
 from ..operators.ranking import count_by, favourite, rank_within, sort_desc, top_k
+from ..session import materialize
 from ..sources.dims import CITY_DIM, CONFIRM, FEEDBACK_DIM, TRY_LATER
 
 # Parameters of the reference analyses.
@@ -127,16 +128,22 @@ def courier_order_counts(feedback: DataFrame) -> DataFrame:
 
 
 def courier_final(report: DataFrame, feedback: DataFrame, quantile_mode: str = "approx",
-                  accuracy: int = 1000) -> DataFrame:
+                  accuracy: int = 1000, materialize_per_courier: bool = True) -> DataFrame:
     """N-9: per courier, order count and mean work time, scored 0..100
     between their 1% and 99% quantiles and combined 0.4 / 0.6.
 
     Both inputs are aggregated on ``courier_id`` before the join, so the join
     reads two frames already hash-partitioned on its key. The quantile bounds
-    enter as one scalar subquery (no cross join, no driver round trip).
+    enter as one scalar subquery (no cross join, no driver round trip). The
+    per-courier frame (one row per courier) feeds both the bounds and the
+    scores, so it is checkpointed once to the shared checkpoint folder
+    (required in exact mode, whose bounds run jobs of their own; optional in
+    approximate mode, where a fully lazy plan reuses the shuffles instead).
     """
     orders = count_by(labelled_feedback(feedback), "courier_id", "order_count")
     per_courier = orders.join(courier_avg_work_duration(report), "courier_id")
+    if quantile_mode == "exact" or materialize_per_courier:
+        per_courier = materialize(per_courier)
     work, cnt = "avg_work_duration_seconds", "order_count"
     bounds = quantile_bounds(per_courier, [work, cnt], SCORE_QUANTILES, quantile_mode, accuracy)
     b = bounds.select(F.struct(*bounds.columns).alias("b")).scalar()

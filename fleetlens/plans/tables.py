@@ -32,15 +32,16 @@ class CourierTables:
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, clean_suffix: str | None = "_clean") -> "CourierTables":
-        """Raw tables ``{database}.{name}``; when ``clean_suffix`` is set and the
-        clean tables exist, they are read instead of recomputed."""
-        raw = {t: catalog.table(spark, database, t) for t in TABLES}
-        clean = {}
+        """Raw tables ``{database}.{name}``, resolved on first use; when
+        ``clean_suffix`` is set and a clean table exists, it is read instead of
+        recomputing the cleaning."""
+        builders = {t: (lambda t=t: catalog.table(spark, database, t)) for t in TABLES}
+        out = cls(spark, {}, raw_builders=builders)
         if clean_suffix:
             for t in TABLES:
                 if catalog.table_exists(spark, database, t + clean_suffix):
-                    clean[t] = catalog.table(spark, database, t + clean_suffix)
-        return cls(spark, raw, clean)
+                    out.clean_frames[t] = catalog.table(spark, database, t + clean_suffix)
+        return out
 
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, list[str] | str]) -> "CourierTables":

@@ -73,3 +73,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialize(df, checkpoint: bool = True):
+    """Cut the lineage of a frame that several jobs read: a reliable
+    checkpoint into the shared checkpoint folder (survives executor loss),
+    or a cache when ``checkpoint`` is off."""
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df.cache()
