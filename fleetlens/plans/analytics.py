@@ -28,7 +28,8 @@ SCORE_WEIGHTS = {"work_duration_score": 0.4, "order_count_score": 0.6}
 
 # ---------------------------------------------------------------- report
 def dataset_summary(report: DataFrame, approx: bool = False) -> DataFrame:
-    """N-1: orders, cities, couriers, shops in one aggregate."""
+    """N-1: orders, cities, couriers, shops in one aggregate (A-1 count, A-2
+    three count-distincts; ``approx=True`` uses HyperLogLog sketches)."""
     distinct = F.approx_count_distinct if approx else F.count_distinct
     return report.agg(
         F.count(F.lit(1)).alias("orders"),
@@ -62,7 +63,8 @@ def _with_delivery_seconds(report: DataFrame) -> DataFrame:
 
 def average_delivery_time(report: DataFrame) -> DataFrame:
     """N-10: mean delivery time, no midnight wrap (overnight orders count
-    negative, as in the source analysis)."""
+    negative, as in the source analysis). A-3 average and P-13 seconds →
+    minutes, kept as a lazy one-row frame (S-8)."""
     avg = F.avg("total_delivery_time_seconds")
     return _with_delivery_seconds(report).agg(
         avg.alias("average_delivery_second"), (avg / 60).alias("average_delivery_minute"))
@@ -96,7 +98,7 @@ def labelled_feedback(feedback: DataFrame) -> DataFrame:
 
 
 def avg_response_time(feedback: DataFrame) -> DataFrame:
-    """N-2."""
+    """N-2: A-3 average response time, P-13 in minutes too; one lazy row (S-8)."""
     avg = F.avg("response_time_seconds")
     return labelled_feedback(feedback).agg(avg.alias("avg_response_second"),
                                            (avg / 60).alias("avg_response_minute"))
@@ -108,7 +110,8 @@ def courier_response_counts(feedback: DataFrame) -> DataFrame:
 
 
 def response_leaderboard(feedback: DataFrame, label: str) -> DataFrame:
-    """N-4 / N-5: couriers by how often they answered with ``label``."""
+    """N-4 / N-5: couriers by how often they answered with ``label`` (F-2
+    string equality, T-1 sort)."""
     counts = courier_response_counts(feedback).where(F.col("feedback_tran") == label)
     return sort_desc(counts, "feedback_count", tie_break=["courier_id"])
 
@@ -141,7 +144,7 @@ def courier_final(report: DataFrame, feedback: DataFrame, quantile_mode: str = "
     approximate mode, where a fully lazy plan reuses the shuffles instead).
     """
     orders = count_by(labelled_feedback(feedback), "courier_id", "order_count")
-    per_courier = orders.join(courier_avg_work_duration(report), "courier_id")
+    per_courier = orders.join(courier_avg_work_duration(report), "courier_id")   # J-4
     if quantile_mode == "exact" or materialize_per_courier:
         per_courier = materialize(per_courier)
     work, cnt = "avg_work_duration_seconds", "order_count"
@@ -172,6 +175,7 @@ def shop_top_by_day(feedback: DataFrame, k: int = TOP_RANK) -> DataFrame:
 
 # ---------------------------------------------------------------- devices
 def _int_city(df: DataFrame) -> DataFrame:
+    """P-8: string city key → int; a dirty key becomes NULL, not an error."""
     return df.withColumn("city_id", F.col("city_id").try_cast("int"))
 
 
@@ -213,7 +217,8 @@ def shop_city_model_favourite(merchants: DataFrame, n: int = TOP_N) -> DataFrame
 
 
 def city_courier_merchant_counts(couriers: DataFrame, merchants: DataFrame) -> DataFrame:
-    """N-19: device rows per city on both sides (rows, not distinct ids)."""
+    """N-19: device rows per city on both sides (rows, not distinct ids);
+    J-4 joins the two per-city aggregates, J-2 names the city."""
     c = count_by(_int_city(couriers), "city_id", "courier_count")
     m = count_by(_int_city(merchants), "city_id", "merchant_count")
     return CITY_DIM.join(c.join(m, "city_id"), "city_id").select(

@@ -39,13 +39,14 @@ def feature_frame(report: DataFrame, feedback: DataFrame | None = None,
             data = skew_safe_join(data, feedback, FEEDBACK_JOIN_KEYS, "left")
         else:
             data = data.join(feedback, FEEDBACK_JOIN_KEYS, "left")
+        # P-9: presence indicator of the left join's right side
         data = data.withColumn("has_system_notification",
                                F.when(F.col("feedback_hour").isNull(), F.lit(0)).otherwise(F.lit(1)))
         data = fill_missing(data, NO_NOTIFICATION_FILL)
         stages = STAGES_WITH_FEEDBACK
     else:
         stages = STAGES_REPORT_ONLY
-    data = data.withColumn("city_id", F.col("city_id").try_cast("int"))
+    data = data.withColumn("city_id", F.col("city_id").try_cast("int"))   # P-8
     times = stage_minutes_columns(stages, accepted_after, stage_before)
     hms = {f"{s}_{p}" for s in stages for p in TIME_PARTS}
     kept = [c for c in data.columns if c not in hms]

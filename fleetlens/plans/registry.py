@@ -58,6 +58,7 @@ ANALYTICS: dict[str, Query] = {
     "city_courier_merchant_counts": _on(lambda t: A.city_courier_merchant_counts(t.couriers, t.merchants)),
     "shop_order_counts": _on(lambda t: A.shop_order_counts(t.feedback)),
     "shop_top_by_day": _on(lambda t: A.shop_top_by_day(t.feedback)),
+    # N-22 .. N-25: the clean tables
     "clean_courier_device": _on(lambda t: t.couriers),
     "clean_merchant_device": _on(lambda t: t.merchants),
     "clean_courier_feedback": _on(lambda t: t.feedback),
@@ -96,6 +97,7 @@ def _metrics(with_feedback: bool) -> Query:
     return _on(build)
 
 
+# N-26 clean audit, N-27 fault injection (and the cleaning property it checks)
 QUALITY: dict[str, Query] = {
     "clean_audit": _on(lambda t: clean_audit({n: t.raw(n) for n in
                                               ("courier_device", "merchant_device",
@@ -104,6 +106,7 @@ QUALITY: dict[str, Query] = {
     **{f"clean_after_faults_{n}": _clean_after_faults(n) for n in FAULT_TABLES},
 }
 
+# N-28 feature frames, N-29 predictions, N-30 metrics (variants A and B)
 MODELS: dict[str, Query] = {
     "feature_frame_with_feedback": _features(True),
     "feature_frame_report_only": _features(False),

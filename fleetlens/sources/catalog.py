@@ -46,7 +46,8 @@ def sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = Non
 
 
 def schema_of(df: DataFrame) -> T.StructType:
-    """S-9."""
+    """S-9. (P-14 renames and P-15 projections are plain ``alias`` / ``select``
+    in the queries.)"""
     return df.schema
 
 
