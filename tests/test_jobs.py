@@ -70,3 +70,22 @@ def test_stream_ingest_is_incremental(spark, tables, scratch_dir):
     q = ingest_stream(spark, "courier_feedback", os.path.join(landing, "*"), "stream_db", checkpoint_location=ckpt)
     q.awaitTermination()
     assert spark.table("stream_db.courier_feedback").count() == src.count() + 10
+
+
+def test_catalog_source_is_lazy(spark):
+    t = CourierTables.from_catalog(spark, "no_such_db")   # nothing resolved yet
+    import pytest
+    with pytest.raises(Exception):
+        t.raw("courier_report").count()
+
+
+def test_spread_only_when_scan_is_narrow(spark, scratch_dir):
+    from fleetlens.sources.adapter import spread
+    path = os.path.join(scratch_dir, "one")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    narrow = spark.read.parquet(path)
+    want = spark.sparkContext.defaultParallelism
+    assert spread(narrow).rdd.getNumPartitions() == want
+    wide = spark.range(0, 1000, numPartitions=want * 2)
+    assert spread(wide).rdd.getNumPartitions() == want * 2
+    assert sorted(r.id for r in spread(narrow).collect()) == list(range(1000))
