@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import clean_audit
 from ..operators.faults import fault_rows
-from ..schemas import TABLES
+from ..schemas import FEEDBACK_JOIN_KEYS, TABLES
 from ..sources import catalog, csv_files
 from . import analytics as A
 from . import models as M
@@ -19,6 +19,7 @@ from .features import feature_frame
 from .tables import CourierTables
 
 CLEAN_SUFFIX = "_clean"
+FACT_TABLES = ("courier_report", "courier_feedback")
 
 
 def ingest_job(spark: SparkSession, database: str, paths: dict[str, list[str] | str],
@@ -34,10 +35,18 @@ def ingest_job(spark: SparkSession, database: str, paths: dict[str, list[str] |
             catalog.write_table(df, database, table, mode="overwrite")
 
 
-def clean_job(tables: CourierTables, database: str) -> DataFrame:
-    """Write ``{table}_clean`` for the four tables; returns the clean audit."""
+def clean_job(tables: CourierTables, database: str, fact_buckets: int | None = None) -> DataFrame:
+    """Write ``{table}_clean`` for the four tables; returns the clean audit.
+
+    With ``fact_buckets``, the two fact tables are written bucketed and
+    sorted on the 7-column order key of the report ⟕ feedback join, so that
+    join later reads co-located buckets and shuffles neither side. The
+    buckets hash the whole key, so one busy courier or shop does not fill a
+    bucket.
+    """
     for t in TABLES:
-        catalog.write_table(tables.clean(t), database, t + CLEAN_SUFFIX)
+        bucket = (fact_buckets, FEEDBACK_JOIN_KEYS) if fact_buckets and t in FACT_TABLES else None
+        catalog.write_table(tables.clean(t), database, t + CLEAN_SUFFIX, bucket_by=bucket)
     return clean_audit({t: tables.raw(t) for t in TABLES})
 
 

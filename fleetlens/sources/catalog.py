@@ -52,7 +52,7 @@ def schema_of(df: DataFrame) -> T.StructType:
 
 
 def write_table(df: DataFrame, database: str | None, name: str, fmt: str | None = None,
-                mode: str = "overwrite", partition_by=None) -> None:
+                mode: str = "overwrite", partition_by=None, bucket_by: tuple | None = None) -> None:
     """K-1 (default provider) and K-2 (``fmt="orc"``): managed-table write.
 
     The database is created on first use; results are written into a result
@@ -65,6 +65,11 @@ def write_table(df: DataFrame, database: str | None, name: str, fmt: str | None
         w = w.format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if bucket_by:
+        # (buckets, columns): rows hashed into a fixed number of sorted
+        # buckets, so joins / aggregates on those columns skip the shuffle
+        buckets, cols = bucket_by
+        w = w.bucketBy(buckets, *cols).sortBy(*cols)
     w.saveAsTable(qualified(database, name))
 
 

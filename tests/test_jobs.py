@@ -89,3 +89,19 @@ def test_spread_only_when_scan_is_narrow(spark, scratch_dir):
     wide = spark.range(0, 1000, numPartitions=want * 2)
     assert spread(wide).rdd.getNumPartitions() == want * 2
     assert sorted(r.id for r in spread(narrow).collect()) == list(range(1000))
+
+
+def test_bucketed_clean_tables_join_without_shuffle(spark, tables):
+    from fleetlens.plans.features import feature_frame
+    jobs.clean_job(tables, "bucket_db", fact_buckets=8)
+    t = CourierTables.from_catalog(spark, "bucket_db")
+    # the tiny test tables would otherwise be broadcast; check the large-table path
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = feature_frame(t.report, t.feedback)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning" not in plan
+        assert _same(joined, feature_frame(tables.report, tables.feedback))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
