@@ -145,10 +145,15 @@ def courier_final(report: DataFrame, feedback: DataFrame, quantile_mode: str = "
     """
     orders = count_by(labelled_feedback(feedback), "courier_id", "order_count")
     per_courier = orders.join(courier_avg_work_duration(report), "courier_id")   # J-4
-    if quantile_mode == "exact" or materialize_per_courier:
+    stored = quantile_mode == "exact" or materialize_per_courier
+    if stored:
         per_courier = materialize(per_courier)
     work, cnt = "avg_work_duration_seconds", "order_count"
     bounds = quantile_bounds(per_courier, [work, cnt], SCORE_QUANTILES, quantile_mode, accuracy)
+    if stored:
+        # one row: computed once here, so the optimizer's per-field scalar
+        # subqueries below each read a stored row instead of re-running it
+        bounds = materialize(bounds)
     b = bounds.select(F.struct(*bounds.columns).alias("b")).scalar()
     lo, hi = SCORE_QUANTILES
     scored = per_courier.withColumns({
