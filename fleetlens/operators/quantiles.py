@@ -49,15 +49,18 @@ def approx_quantiles(df: DataFrame, cols, probs, accuracy: int = 1000) -> DataFr
 
 
 def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -> DataFrame:
+    """Without ``partitions``, AQE sizes the range exchange from the histogram
+    (it only merges adjacent partitions, so each stays a contiguous range)."""
     spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
         for i, c in enumerate(cols)])).alias("_e")).select("_e._c", "_e._v")
     hist = (stacked.where(F.col("_v").isNotNull())
                    .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
     ensure_checkpoint_dir(spark)
-    ranged = (hist.repartitionByRange(partitions, "_c", "_v").checkpoint(eager=True)
+    by_range = (hist.repartitionByRange(partitions, "_c", "_v") if partitions
+                else hist.repartitionByRange("_c", "_v"))
+    ranged = (by_range.checkpoint(eager=True)
                   .withColumn("_pid", F.spark_partition_id()))
     by_col = Window.partitionBy("_c")
     offsets = (ranged.groupBy("_pid", "_c").agg(F.sum("_n").alias("_pn"))
@@ -65,7 +68,8 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -
                          by_col.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                      .withColumn("_tot", F.sum("_pn").over(by_col))
                      .drop("_pn"))
-    # `offsets` has at most partitions × len(cols) rows: a proven broadcast bound.
+    # `offsets` has at most (range partitions ≤ shuffle partitions) × len(cols)
+    # rows: a proven broadcast bound.
     within = (Window.partitionBy("_pid", "_c").orderBy("_v")
                     .rowsBetween(Window.unboundedPreceding, 0))
     cum = (ranged.join(F.broadcast(offsets), ["_pid", "_c"])

@@ -93,3 +93,18 @@ def test_skew_safe_join_equals_plain_join(spark, how):
     want = left.join(right, ["k"], how)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_exact_quantiles_over_coalesced_ranges(spark):
+    # a tiny advisory size makes AQE keep many (merged, adjacent) range partitions
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        df = spark.range(40000).select((F.col("id") * 7919 % 10007).cast("double").alias("v"),
+                                       (F.col("id") % 97).cast("double").alias("w"))
+        probs = (0.01, 0.33, 0.99)
+        mine = quantile_bounds(df, ["v", "w"], probs, mode="exact").first()
+        ref = df.selectExpr(*[f"percentile_disc({p}) within group (order by {c})"
+                              for c in ("v", "w") for p in probs]).first()
+        assert list(mine) == list(ref)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
