@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import packing, toxicity
+from . import html_extract, packing, secret_scan, toxicity
 from .common import table
 
 
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op2_html_extraction(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -15,6 +23,8 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_html_extraction": op2_html_extraction,
     "op5_toxicity": op5_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
