@@ -72,3 +72,18 @@ def arrow_id(df: DataFrame, name: str) -> tuple[str, pa.DataType]:
     """Spark and Arrow type of an identifier column, kept in the result."""
     kind = df.schema[name].dataType.simpleString()
     return kind, {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+
+
+# Lists of ids up to this length are broadcast (about 32 MB); longer ones are joined by shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` (short) rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids``; null ids stay."""
+    ids = stored(ids.where("doc_id is not null").select("doc_id").distinct())
+    return docs.join(small(ids), "doc_id", "left_anti").select(docs.columns)

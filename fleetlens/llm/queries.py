@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_extract, packing, secret_scan, toxicity
+from . import decontaminate, html_extract, near_dup, packing, secret_scan, toxicity
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_probminhash_near_dup(spark, sf_dir):
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
+def op9_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -26,6 +34,8 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_extraction": op2_html_extraction,
     "op5_toxicity": op5_toxicity,
+    "op8_probminhash_near_dup": op8_probminhash_near_dup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
