@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, near_dup, packing, secret_scan, toxicity
+from . import decontaminate, html_extract, near_dup, packing, secret_scan, toxicity, vector_search
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_vector_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.top_k(vectors, vector_search.every(vectors))
+
+
 def op8_probminhash_near_dup(spark, sf_dir):
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
@@ -34,8 +39,9 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_extraction": op2_html_extraction,
     "op5_toxicity": op5_toxicity,
+    "op6_vector_top_k": op6_vector_top_k,
     "op8_probminhash_near_dup": op8_probminhash_near_dup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_vector_top_k": vector_search.ORACLE}
