@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, near_dup, packing, secret_scan, toxicity, vector_search
+from . import decontaminate, html_extract, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_html_extraction(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +42,7 @@ def op10_best_fit_packing(spark, sf_dir):
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_extraction": op2_html_extraction,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_vector_top_k": op6_vector_top_k,
     "op8_probminhash_near_dup": op8_probminhash_near_dup,
