@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
+from . import decontaminate, html_extract, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op6_vector_top_k(spark, sf_dir):
     return vector_search.top_k(vectors, vector_search.every(vectors))
 
 
+def op7_context_mixing_lm(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op8_probminhash_near_dup(spark, sf_dir):
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_vector_top_k": op6_vector_top_k,
+    "op7_context_mixing_lm": op7_context_mixing_lm,
     "op8_probminhash_near_dup": op8_probminhash_near_dup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
