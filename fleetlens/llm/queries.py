@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
+from . import decontaminate, html_extract, license_scan, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_suffix_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_extraction": op2_html_extraction,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
     "op6_vector_top_k": op6_vector_top_k,
     "op7_context_mixing_lm": op7_context_mixing_lm,
