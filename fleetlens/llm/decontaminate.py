@@ -20,7 +20,7 @@ The tables of the benchmark are broadcast if they are small, otherwise
 joined by shuffle.
 
 Cases: null or empty texts and items have no words and match nothing; an item
-of fewer than five words is one shingle; repeated rows give one result;
+of fewer than five words is one shingle, looked up at every word; repeated rows give one result;
 documents or items with a null id are left out; other columns are ignored;
 empty tables give no rows.
 """
@@ -81,12 +81,15 @@ def items(benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, start_word, similarity): the best window of each pair."""
     item = stored(items(benchmark, threshold))
-    stride = item.agg(F.min("run")).first()[0] or 1
+    stride = item.where(F.col("n") >= WORDS).agg(F.min("run")).first()[0] or WORDS
+    short = [r[0] for r in item.where(F.col("n") < WORDS).select("n").distinct().collect()]      # at most WORDS - 1
+    steps = [(WORDS, stride), *[(n, 1) for n in sorted(short)]]
+    looked_up = ", ".join(f"""transform(sequence(0, greatest(size(ws) - {w}, 0), {step}),
+        i -> struct(i as at, xxhash64(slice(ws, i + 1, {w})) as gram))""" for w, step in steps)
     lookup = small(item.select("item_id", "n", "lost", F.posexplode("grams").alias("offset", "gram")), BROADCAST_GRAMS)
     own = docs.where("doc_id is not null").select("doc_id", full_text().alias("text"))
     sampled = (own.select("doc_id", words(F.col("text")).alias("ws")).where("size(ws) > 0")
-               .select("doc_id", F.expr(f"""explode(transform(sequence(0, greatest(size(ws) - {WORDS}, 0), {stride}),
-                   i -> struct(i as at, xxhash64(slice(ws, i + 1, {WORDS})) as gram)))""").alias("s"))
+               .select("doc_id", F.expr(f"explode(concat({looked_up}))").alias("s"))
                .select("doc_id", "s.at", "s.gram"))
     hits = stored(sampled.join(lookup, "gram")
                   .select("doc_id", "item_id", "n", F.explode(F.expr(
@@ -94,10 +97,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
                   .groupBy("doc_id", "item_id", "n").agg(F.collect_set("start").alias("starts")))
     window = (own.join(small(hits), "doc_id")
               .select("doc_id", "item_id", "n", "starts", words(F.col("text")).alias("ws"))
-              .select("doc_id", "item_id", F.explode("starts").alias("start"), "n", "ws")
-              .select("doc_id", "item_id", F.col("start").alias("start_word"),
-                      F.expr("slice(ws, start + 1, n)").alias("part"))
-              .where("size(part) > 0").select("doc_id", "item_id", "start_word", shingles("part").alias("h"))
+              .select("doc_id", "item_id", F.explode(F.expr(f"""transform(filter(starts, s -> s < size(ws)), s -> struct(
+                  s as start_word, transform(sequence(0, greatest(least(n, size(ws) - s) - {WORDS}, 0)),
+                      i -> xxhash64(slice(ws, s + i + 1, least({WORDS}, n - i)))) as h))""")).alias("w"))
+              .select("doc_id", "item_id", "w.*")
               .withColumn("f", simhash("h")))
     index = small(item.select("item_id", F.explode(blocks("fingerprint")).alias("b")).select("item_id", "b.*"), BROADCAST_GRAMS)
     near = (window.withColumn("b", F.explode(blocks("f"))).select(*window.columns, "b.*")
