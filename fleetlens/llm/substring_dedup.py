@@ -15,8 +15,8 @@ Contexts that share a bytes to the left and ``LENGTH - a`` to the right, by
 their classes in the two orders, hold the same string; all but the earliest
 are covered.
 
-Exact copies leave before that, and equal contexts collapse in each map task.
-A hash with more than ``MOST`` contexts is not sorted in one task: its strings
+Exact copies leave before that, and of equal contexts (by a second hash of all
+their bytes) only the earliest is sorted. A hash with more than ``MOST`` contexts is not sorted in one task: its strings
 are grouped one by one with partial minima.
 
 Cases: null text is empty; texts under ``LENGTH`` bytes lose nothing; rows with
@@ -41,8 +41,9 @@ LENGTH, GRAM = 100, 50
 WINDOW = LENGTH - GRAM + 1
 REACH = LENGTH - GRAM
 MOST = 20_000
-CHUNK = 20_000
-PIECE = 1 << 20            # bytes of a long text hashed at once
+CHUNK = 10_000
+MOST_BROADCAST = 32 << 20  # bytes
+PIECE = 1 << 18            # bytes of a long text hashed at once
 _B = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_B, -1, 1 << 64)
 _M = np.uint64(0xBF58476D1CE4E5B9)
@@ -54,7 +55,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = _powers(_B, PIECE + LENGTH + 1), _powers(_INV, PIECE + LENGTH + 1)
+_UP, _DOWN = _powers(_B, PIECE + 4 * LENGTH), _powers(_INV, PIECE + 4 * LENGTH)
 
 
 def prefix_hashes(x: np.ndarray) -> np.ndarray:
@@ -65,15 +66,6 @@ def prefix_hashes(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def gram_hashes(b: np.ndarray, n: int = GRAM) -> np.ndarray:
-    """Scrambled hash of every string of ``n`` bytes."""
-    p = prefix_hashes(b)
-    h = (p[n:] - p[:-n]) * _DOWN[:len(p) - n]
-    h ^= h >> np.uint64(32)
-    h *= _M
-    return h ^ (h >> np.uint64(29))
-
-
 def _slide(x: np.ndarray, w: int, op, pad) -> np.ndarray:
     """``op`` (minimum or maximum) over every window of ``w``."""
     n = len(x)
@@ -85,20 +77,33 @@ def _slide(x: np.ndarray, w: int, op, pad) -> np.ndarray:
     return op(back[:n - w + 1], ahead[w - 1:n])
 
 
-def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of a text's strings."""
-    at, hs = [], []
+def scrambled(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _M
+    return h ^ (h >> np.uint64(29))
+
+
+def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the anchors of a text's strings, with the hashes of their
+    grams and of their contexts."""
+    out = []
     for s in range(0, max(len(b) - LENGTH + 1, 0), PIECE):
-        h = gram_hashes(b[s:s + PIECE + LENGTH - 1])
+        lead = min(s, REACH)
+        p = prefix_hashes(b[s - lead:s + PIECE + 2 * LENGTH])
+        n = min(PIECE + LENGTH - 1, len(b) - s)                  # bytes of this piece's strings
+        at = np.arange(lead, lead + n - GRAM + 1)
+        h = scrambled((p[at + GRAM] - p[at]) * _DOWN[at])
         least = _slide(h, WINDOW, np.minimum, np.uint64(2 ** 64 - 1))
         edge = np.zeros(WINDOW - 1, np.uint64)
-        pos = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), WINDOW, np.maximum, np.uint64(0)) == h)
-        at.append(pos + s)
-        hs.append(h[pos])
-    if not at:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    pos, first = np.unique(np.concatenate(at), return_index=True)
-    return pos, np.concatenate(hs)[first]
+        k = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), WINDOW, np.maximum, np.uint64(0)) == h)
+        c0, c1 = np.maximum(k + lead - REACH, 0), np.minimum(k + lead + LENGTH, len(p) - 1)
+        size = (k + lead - c0) * 1000 + (c1 - k - lead)
+        context = scrambled((p[c1] - p[c0]) * _DOWN[c0] + size.astype(np.uint64) * _M)
+        out.append((k + s, h[k], context))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    pos, h, c = (np.concatenate(x) for x in zip(*out, strict=True))
+    pos, first = np.unique(pos, return_index=True)
+    return pos, h[first], c[first]
 
 
 class Suffixes:
@@ -201,96 +206,162 @@ def covered(group: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[n
     return low, high
 
 
-def _marker(*parts: int) -> int:
-    return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little", signed=True)
+def repeated_anchors(texts: DataFrame, most: int) -> DataFrame:
+    """(doc_id, at, low, high, hot): anchors whose gram occurs again. Those
+    whose whole context occurred before are covered from ``low`` to ``high``;
+    for the first of each context ``low`` is -1: it has to be sorted, unless
+    its gram has no other context. A row with ``hot`` names a gram with more
+    than ``most`` contexts.
 
-
-def repeated_anchors(texts: DataFrame) -> DataFrame:
-    """(doc_id, at): anchors of each document whose hash occurs again.
-
-    An anchor that repeats within a batch is known to; only one of its
-    occurrences is compared with other batches, by sorted neighbours.
+    Equal contexts of a batch leave it as one row to be compared (the others
+    keep a key of their own); the rest is decided by sorted neighbours, so a
+    task holds no group.
     """
-    fields = pa.schema([("gram", pa.int64()), ("known", pa.bool_()), ("doc_id", pa.int64()), ("at", pa.int32())])
+    names = ["gram", "context", "doc_id", "at", "after"]
+    fields = pa.schema([("gram", pa.int64()), ("context", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()),
+                        ("after", pa.int16())])
 
     def find(batches):
         with np.errstate(over="ignore"):
             for ids, docs in pairs(batches):
-                g, d, p = [], [], []
-                for i, t in zip(ids, docs, strict=True):
-                    pos, h = anchors(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8))
-                    g.append(h.view(np.int64))
-                    p.append(pos)
-                    d.append(np.full(len(pos), i, np.int64))
-                g, d, p = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (g, d, p))
-                _, first, count = np.unique(g, return_index=True, return_counts=True)
-                again = np.zeros(len(g), bool)
-                order = np.argsort(g, kind="stable")
-                again[order] = np.repeat(count > 1, count)
-                k = np.flatnonzero(again)
-                spread = (d[k] * 1_000_003 + p[k]) * np.int64(-7046029254386353131)
-                gram = np.concatenate([g[first], spread])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram), pa.array(np.arange(len(gram)) >= len(first)),
-                     pa.array(np.concatenate([d[first], d[k]])), pa.array(np.concatenate([p[first], p[k]]).astype(np.int32))],
-                    schema=fields)
-
-    out = pa.schema([("doc_id", pa.int64()), ("at", pa.int32())])
+                parts = []
+                for i, t in sorted(zip(ids, docs, strict=True), key=lambda x: x[0]):
+                    b = np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8)
+                    pos, h, c = anchors(b)
+                    parts.append((h.view(np.int64), c.view(np.int64), np.full(len(pos), i, np.int64), pos,
+                                  np.minimum(len(b) - pos, LENGTH)))
+                if not parts:
+                    continue
+                g, c, d, p, after = (np.concatenate(x) for x in zip(*parts, strict=True))
+                both = g ^ (c * np.int64(3))
+                _, first = np.unique(both, return_index=True)
+                later = np.ones(len(g), bool)
+                later[first] = False
+                after = np.where(later, -after, after)           # covered rows go anywhere
+                g = np.where(later, d * 1_000_003 + p * 7919, g)
+                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c), pa.array(d), pa.array(p.astype(np.int32)),
+                                                  pa.array(after.astype(np.int16))], schema=fields)
+
+    out = pa.schema([("doc_id", pa.int64()), ("at", pa.int32()), ("low", pa.int32()), ("high", pa.int32()),
+                     ("hot", pa.int64())])
+
+    def rows(d, p, low, high, hot=None):
+        return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(p, pa.int32()), pa.array(low, pa.int32()),
+                                           pa.array(high, pa.int32()), pa.array(hot if hot is not None else [None] * len(d), pa.int64())],
+                                          schema=out)
 
     def neighbours(batches):
-        tail = None                                   # last row, and whether the one before had its gram
+        held = None                  # the last first-of-context: (gram, context, doc, at), sent already, contexts so far
         for b in batches:
             if not b.num_rows:
                 continue
-            g, known, d, p = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-            if tail is not None:
-                g, known = np.concatenate([tail[0], g]), np.concatenate([tail[1], known])
-                d, p = np.concatenate([tail[2], d]), np.concatenate([tail[3], p])
-            # equal neighbours; "known" rows carry keys of their own
-            same = (g[1:] == g[:-1]) & ~known[1:] & ~known[:-1]
-            hit = known | np.concatenate([same, [False]]) | np.concatenate([[tail[4] if tail else False], same])
-            keep = hit[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(d[:-1][keep]), pa.array(p[:-1][keep].astype(np.int32))], schema=out)
-            tail = (g[-1:], known[-1:], d[-1:], p[-1:], bool(hit[-1] and not known[-1]))
-        if tail is not None and (tail[1][0] or tail[4]):
-            yield pa.RecordBatch.from_arrays([pa.array(tail[2]), pa.array(tail[3].astype(np.int32))], schema=out)
+            g, c, d, p, after = (x.to_numpy(zero_copy_only=False) for x in b.columns)
+            done = after < 0
+            nl, nr = np.minimum(p, REACH), np.abs(after)
+            low, high = np.maximum(LENGTH - nr, 0), nl
+            use = done & (low <= high)
+            yield rows(d[use], p[use], low[use], high[use])
+            k = np.flatnonzero(~done)
+            if not len(k):
+                continue
+            g, c, d, p, low, high = g[k], c[k], d[k], p[k], low[k], high[k]
+            new_gram = np.concatenate([[held is None or held[0] != g[0]], g[1:] != g[:-1]])
+            new = new_gram | np.concatenate([[held is None or held[1] != c[0]], c[1:] != c[:-1]])
+            use = ~new & (low <= high)
+            yield rows(d[use], p[use], low[use], high[use])
+            r = np.flatnonzero(new)
+            if not len(r):
+                continue
+            if held is not None and not new_gram[r[0]] and not held[4]:
+                yield rows([held[2]], [held[3]], [-1], [-1])
+            again = ~new_gram[r]                                    # an earlier context has the gram
+            ahead = np.concatenate([again[1:], [False]])            # a later one in this batch has
+            send = again | ahead
+            yield rows(d[r[send]], p[r[send]], np.full(send.sum(), -1), np.full(send.sum(), -1))
+            runs = np.flatnonzero(np.concatenate([[True], ~again[1:]]))
+            sizes = np.diff(np.concatenate([runs, [len(r)]]))
+            before = held[5] if held is not None and again[0] else 0
+            sizes[0] += before
+            hot = [int(g[r[a]]) for i, (a, n) in enumerate(zip(runs, sizes, strict=True))
+                   if n > most and not (i == 0 and before > most)]
+            if hot:
+                yield rows([None] * len(hot), [None] * len(hot), [None] * len(hot), [None] * len(hot), hot)
+            held = (g[r[-1]], c[r[-1]], int(d[r[-1]]), int(p[r[-1]]), bool(send[-1]), int(sizes[-1]))
 
     bound_batches(texts.sparkSession)
-    found = (texts.mapInArrow(find, "gram bigint, known boolean, doc_id bigint, at int")
-             .repartition(shuffles(texts), "gram").sortWithinPartitions("gram"))
-    return found.mapInArrow(neighbours, "doc_id bigint, at int")
+    found = (texts.mapInArrow(find, "gram bigint, context bigint, doc_id bigint, at int, after smallint")
+             .repartition(shuffles(texts), "gram").sortWithinPartitions("gram", "context", "doc_id", "at").select(names))
+    return found.mapInArrow(neighbours, "doc_id bigint, at int, low int, high int, hot bigint")
 
 
 def shuffles(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def by_document(reach: DataFrame) -> DataFrame:
+    """(doc_id, places, spans, hot): 32-bit positions to be sorted, and merged
+    (start, end) to be removed, of each document; the row without doc_id has
+    the hot grams."""
+    fields = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("spans", pa.binary()),
+                        ("hot", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for d, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if d is None:
+                    out.append((None, b"", b"", [f["hot"] for f in found]))
+                    continue
+                places = np.array(sorted(f["at"] for f in found if f["low"] < 0), dtype="<i4")
+                spans = merged(sorted((f["at"] - f["high"], f["at"] - f["low"] + LENGTH) for f in found if f["low"] >= 0))
+                out.append((d, places.tobytes(), np.array(spans, dtype="<i4").tobytes(), []))
+            yield rows_to_batch(out, fields)
+
+    return (reach.groupBy("doc_id").agg(F.collect_list(F.struct("at", "low", "high", "hot")).alias("found"))
+            .mapInArrow(run, "doc_id bigint, places binary, spans binary, hot array<bigint>"))
+
+
+def merged(spans) -> list[list[int]]:
+    """Sorted (start, end) joined where they touch."""
+    out: list[list[int]] = []
+    for s, e in spans:
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return out
+
+
+def few_bytes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with a broadcast hint if its binary columns are small."""
+    size = df.agg(F.sum(sum((F.octet_length(c) + 32 for c in columns), F.lit(0)))).first()[0] or 0
+    return F.broadcast(df) if size <= MOST_BROADCAST else df
+
+
 def contexts(texts: DataFrame) -> DataFrame:
-    """(gram, doc_id, at, left, right, low, high) of ``texts`` (doc_id, text,
-    places). Equal contexts of one batch collapse into the earliest; the others
-    are covered entirely, which ``low`` and ``high`` say."""
+    """(gram, doc_id, at, left, right) of ``texts`` (doc_id, text, places)."""
     fields = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("left", pa.binary()),
-                        ("right", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
+                        ("right", pa.binary())])
 
     def run(batches):
-        for batch in batches:
-            seen: dict[tuple, int] = {}
-            rows, found = [], []
-            for d, t, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                b = t.encode("utf-8", "surrogatepass")
-                found += [(d, p, b[max(0, p - REACH):p], b[p:p + LENGTH]) for p in places]
-            for d, p, left, right in sorted(found, key=lambda x: x[:2]):
-                gram = int.from_bytes(hashlib.blake2b(right[:GRAM], digest_size=8).digest(), "little", signed=True)
-                if (left, right) not in seen:
-                    seen[left, right] = 1
-                    rows.append((gram, d, p, left, right, -1, -1))
-                else:
-                    low, high = max(0, LENGTH - len(right)), len(left)
-                    if low <= high:
-                        rows.append((_marker(d, p), d, p, None, None, low, high))
-            yield rows_to_batch(rows, fields)
-
-    return texts.mapInArrow(run, "gram bigint, doc_id bigint, at int, left binary, right binary, low int, high int")
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                rows = []
+                for d, t, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    b = t.encode("utf-8", "surrogatepass")
+                    at = np.frombuffer(places, "<i4").astype(np.int64)
+                    grams = np.lib.stride_tricks.sliding_window_view(np.frombuffer(b, np.uint8), GRAM)
+                    for j in range(0, len(at), 4096):
+                        part = at[j:j + 4096]
+                        h = scrambled(((grams[part].astype(np.uint64) + np.uint64(1)) * _UP[:GRAM]).sum(axis=1, dtype=np.uint64))
+                        rows += [(g, d, q, b[max(0, q - REACH):q], b[q:q + LENGTH])
+                                 for g, q in zip(h.view(np.int64).tolist(), part.tolist(), strict=True)]
+                    if len(rows) > 20_000:
+                        yield rows_to_batch(rows, fields)
+                        rows = []
+                yield rows_to_batch(rows, fields)
+
+    return texts.mapInArrow(run, "gram bigint, doc_id bigint, at int, left binary, right binary")
 
 
 def sorted_reach(found: DataFrame) -> DataFrame:
@@ -306,11 +377,7 @@ def sorted_reach(found: DataFrame) -> DataFrame:
     def run(batches):
         rows: list[tuple] = []
         for batch in batches:
-            new = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            done = [(r[1], r[2], r[5], r[6]) for r in new if r[5] >= 0]
-            if done:
-                yield rows_to_batch(done, out)
-            rows += [r for r in new if r[5] < 0]
+            rows += zip(*(c.to_pylist() for c in batch.columns), strict=True)
             if len(rows) >= CHUNK and rows[0][0] != rows[-1][0]:
                 k = next(i for i in range(len(rows) - 1, -1, -1) if rows[i][0] != rows[-1][0]) + 1
                 yield solve(rows[:k])
@@ -344,27 +411,32 @@ def counted_reach(found: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame, most: int = MOST) -> DataFrame:
     """(doc_id, text, whole, spans): ``whole`` if the text is a later copy;
-    ``spans`` are the (start, end) to be removed, unsorted, maybe overlapping."""
+    ``spans`` are the merged (start, end) to be removed."""
     bound_batches(docs.sparkSession)
     texts = docs.select("doc_id", full_text().alias("text"))
     long = texts.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
     named = stored(long.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("copy")).distinct())
     first = named.groupBy("copy").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = stored(named.join(first, "copy").where("doc_id <> first").select("doc_id"))
-    later = small(later)
-    fresh = long.join(later, "doc_id", "left_anti").dropDuplicates(["doc_id"]) \
-        if repeated_ids(named) else long.join(later, "doc_id", "left_anti")
-    places = stored(repeated_anchors(fresh).groupBy("doc_id").agg(F.collect_set("at").alias("places")))
-    met = stored(contexts(fresh.join(small(places, 300_000), "doc_id").select("doc_id", "text", "places")))
-    sizes = met.where("low < 0").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most).select("gram")
-    hot = stored(sizes)
-    reach = sorted_reach(met if hot.isEmpty() else met.join(small(hot), "gram", "left_anti"))
-    if not hot.isEmpty():
-        reach = reach.union(counted_reach(met.join(small(hot), "gram").where("low < 0")))
-    removed = stored(reach.groupBy("doc_id").agg(F.collect_set(F.struct(
-        (F.col("at") - F.col("high")).alias("s"), (F.col("at") - F.col("low") + LENGTH).alias("e"))).alias("spans")))
+    later = small(stored(named.join(first, "copy").where("doc_id <> first").select("doc_id")))
+    fresh = long.join(later, "doc_id", "left_anti")
+    if repeated_ids(named):
+        fresh = fresh.dropDuplicates(["doc_id"])
+    met = stored(by_document(repeated_anchors(fresh, most)))
+    hot = met.where("doc_id is null").select(F.explode("hot").alias("gram")).distinct()
+    places = few_bytes(met.where("octet_length(places) > 0").select("doc_id", "places"), ["places"])
+    found = contexts(fresh.join(places, "doc_id").select("doc_id", "text", "places"))
+    if hot.isEmpty():
+        reach = sorted_reach(found)
+    else:
+        reach = (sorted_reach(found.join(small(hot), "gram", "left_anti"))
+                 .union(counted_reach(found.join(small(hot), "gram"))))
+    more = by_document(reach.withColumn("hot", F.lit(None).cast("bigint")))
+    removed = stored(met.where("doc_id is not null").select("doc_id", "spans").union(more.select("doc_id", "spans"))
+                     .where("octet_length(spans) > 0")
+                     .groupBy("doc_id").agg(F.collect_list("spans").alias("spans")))
+    size = removed.agg(F.sum(F.aggregate("spans", F.lit(40), lambda n, x: n + F.octet_length(x) + 16))).first()[0] or 0
     return (texts.join(later.withColumn("whole", F.lit(True)), "doc_id", "left")
-            .join(small(removed, 300_000), "doc_id", "left"))
+            .join(F.broadcast(removed) if size <= MOST_BROADCAST else removed, "doc_id", "left"))
 
 
 def repeated_ids(named: DataFrame) -> bool:
@@ -383,12 +455,12 @@ def remove_repeats(docs: DataFrame, most: int = MOST) -> DataFrame:
                 x = t.encode("utf-8", "surrogatepass")
                 cuts, kept, at = 0, hashlib.sha256(), 0
                 end = 0
-                for s, e in ([(0, len(x))] if whole else sorted((p["s"], p["e"]) for p in found or ())):
-                    if s > end or not cuts:
-                        kept.update(x[end:s])
-                        at += s - end
-                        cuts += 1
-                    end = max(end, e)
+                for s, e in ([(0, len(x))] if whole else merged(sorted(
+                        p for f in found or () for p in np.frombuffer(f, "<i4").reshape(-1, 2).tolist()))):
+                    kept.update(x[end:s])
+                    at += s - end
+                    cuts += 1
+                    end = e
                 kept.update(x[end:])
                 at += len(x) - end
                 rows.append((d, len(x), len(x) - at, cuts, kept.hexdigest()))
