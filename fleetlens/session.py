@@ -6,7 +6,6 @@ Library code never builds its own session: jobs receive the caller's
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,11 +50,26 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
+def stable_folder(spark: SparkSession, name: str) -> str:
+    """A path under the folder *named* by ``spark.checkpoint.dir``: the same in
+    every application (Spark's own checkpoint folder gets a new name in each)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("progress that survives restarts needs spark.checkpoint.dir or an explicit location")
+    return base.rstrip("/") + "/" + name
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is. Only
-    when it is unset (local tests) is a fresh scratch folder created.
+    On a cluster the setting names shared storage and is used as is. With a
+    local master (tests) an unset setting gets a scratch folder; on a cluster
+    that would be one machine's own folder, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,17 +77,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder, for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
-
-
 def materialize(df, checkpoint: bool = True):
     """Cut the lineage of a frame that several jobs read: a reliable
     checkpoint into the shared checkpoint folder (survives executor loss),

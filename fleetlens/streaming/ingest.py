@@ -2,9 +2,10 @@
 
 Raw delimited files keep arriving in a landing folder (one folder per
 table). ``ingest_stream`` appends every file not loaded before to the raw
-catalog table: a file source with a fixed schema, a checkpoint in the shared
-checkpoint folder (which files are done survives restarts and executor
-loss), and an exactly-once table sink. ``trigger="available_now"`` loads
+catalog table: a file source with a fixed schema, progress in an explicit
+folder or one derived from the configured ``spark.checkpoint.dir`` (the same
+in every application, so which files are done survives restarts), and an
+exactly-once table sink. ``trigger="available_now"`` loads
 everything present and stops, which is how a scheduled batch load uses it.
 
 Cleaning stays a batch job: full-row de-duplication across all history has
@@ -17,7 +18,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import SCHEMAS
-from ..session import shared_path
+from ..session import stable_folder
 from ..sources import catalog
 
 
@@ -33,8 +34,8 @@ def raw_file_stream(spark: SparkSession, table: str, landing_dir: str, delimiter
 def ingest_stream(spark: SparkSession, table: str, landing_dir: str, database: str,
                   checkpoint_location: str | None = None, trigger: str = "available_now",
                   interval: str = "1 minute") -> StreamingQuery:
+    ckpt = checkpoint_location or stable_folder(spark, f"ingest/{database}/{table}")
     catalog.create_database(spark, database)
-    ckpt = checkpoint_location or shared_path(spark, f"ingest/{database}/{table}")
     writer = (raw_file_stream(spark, table, landing_dir).writeStream
               .format("parquet").outputMode("append").option("checkpointLocation", ckpt))
     writer = (writer.trigger(availableNow=True) if trigger == "available_now"
