@@ -3,18 +3,17 @@
 Two kinds of rows are generated for any table schema, on executors with
 ``spark.range`` (nothing is built on the driver):
 
-* incomplete rows: every string column NULL, integer columns random in
-  1..100, double columns random in [0, 100);
+* incomplete rows: every string column NULL, integer columns in 1..100,
+  double columns in [0, 100);
 * identical sentinel rows: strings ``"error"``, numbers -100.
 
-Each kind gets between 1000 and 2000 rows (inclusive); the counts and all
-random values follow from ``seed``.
+Each kind gets between 1000 and 2000 rows (inclusive). Counts and values are
+integer arithmetic on ``seed``, row id and column position, so they are the
+same on any number of cores.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,13 +23,19 @@ SENTINEL_NUMBER = -100
 ROW_RANGE = (1000, 2000)
 
 
-def _null_value(field: T.StructField, seed: int) -> Column:
+def row_count(seed: int, kind: int) -> int:
+    low, high = ROW_RANGE
+    return low + (seed * 7919 + kind * 104_729) % (high - low + 1)
+
+
+def _null_value(field: T.StructField, position: int, seed: int) -> Column:
+    spread = F.col("id") * 7919 + (position * 104_729 + seed * 1_299_709)
     t = field.dataType
     if isinstance(t, T.StringType):
         return F.lit(None).cast(t)
     if isinstance(t, (T.DoubleType, T.FloatType)):
-        return (F.rand(seed) * 100.0).cast(t)
-    return (F.floor(F.rand(seed) * 100) + 1).cast(t)
+        return (spread % 10_000 / 100.0).cast(t)
+    return (spread % 100 + 1).cast(t)
 
 
 def _sentinel_value(field: T.StructField) -> Column:
@@ -42,11 +47,10 @@ def _sentinel_value(field: T.StructField) -> Column:
 
 def fault_rows(spark: SparkSession, schema: T.StructType, seed: int = 7,
                null_rows: int | None = None, sentinel_rows: int | None = None) -> DataFrame:
-    rng = random.Random(seed)
-    n_null = null_rows if null_rows is not None else rng.randint(*ROW_RANGE)
-    n_sent = sentinel_rows if sentinel_rows is not None else rng.randint(*ROW_RANGE)
+    n_null = null_rows if null_rows is not None else row_count(seed, 0)
+    n_sent = sentinel_rows if sentinel_rows is not None else row_count(seed, 1)
     nulls = spark.range(n_null).select(*[
-        _null_value(f, seed * 1000 + i).alias(f.name) for i, f in enumerate(schema.fields)])
+        _null_value(f, i, seed).alias(f.name) for i, f in enumerate(schema.fields)])
     sentinels = spark.range(n_sent).select(*[_sentinel_value(f).alias(f.name) for f in schema.fields])
     return nulls.unionByName(sentinels)
 
