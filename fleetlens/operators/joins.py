@@ -1,27 +1,24 @@
 """Equi-joins that stay balanced when one key holds a large share of rows.
 
 ``skew_safe_join(left, right, on, how)`` handles keys that are hot on the
-``right`` side (the side whose rows fan out per key):
+``right`` side (the side whose rows fan out per key). It is one lazy plan:
 
-1. count right rows per key (partial aggregation, then a shuffle of one
-   row per key per task);
-2. a key is hot when it holds more than ``max(min_hot_rows, total /
-   max_hot_keys)`` rows, so at most ``max_hot_keys`` keys are hot. The hot
-   keys are fetched first (a small job returning at most ``max_hot_keys``
-   rows, like the runtime statistics AQE plans from). With none, the plan is
-   a plain join; otherwise the key list is the proven-size broadcast below;
-3. cold keys join normally (sort-merge at scale; AQE may still split a
+1. count right rows per key (partial aggregation, then one row per key and
+   task is shuffled); a key is hot when it holds more than ``target_rows``
+   rows, an absolute number, and gets ``ceil(rows / target_rows)`` salts, so
+   a salt holds about ``target_rows`` rows however hot the key is;
+2. cold keys join normally (sort-merge at scale; AQE may still split a
    skewed *left* partition, which it can do for inner and left joins);
-4. hot right rows are pre-aggregated to distinct rows with a multiplicity,
-   spread over ``salts`` buckets by a hash of their content (deterministic,
-   so a retried task sends every row to the same bucket), and each hot left
-   row is replicated once per bucket. The replication is bounded by the
-   output, since every hot left row meets more than ``min_hot_rows``
-   partners. Multiplicities are expanded after the join.
-
-Every hot key exists on the right, so for those rows a left outer join and
-an inner join give the same result; the two parts are unioned. No rows are
-dropped or sampled.
+3. hot right rows are reduced to distinct rows with a multiplicity and
+   spread over their key's salts by a hash of their content (deterministic,
+   so a retried task sends every row to the same salt); each hot left row is
+   replicated once per salt, which its output outnumbers by ``target_rows``.
+   Multiplicities are expanded after the join.
+
+The list of hot keys is joined without a hint: AQE broadcasts it from its
+measured size or shuffles it. Every hot key exists on the right, so for
+those rows a left outer join and an inner join give the same result; the two
+parts are unioned. No rows are dropped or sampled.
 """
 
 from __future__ import annotations
@@ -29,43 +26,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT = "_hot_key"
+SALTS = "_salts"
+TARGET_ROWS = 1_000_000
 
 
-def hot_keys(right: DataFrame, on: list[str], max_hot_keys: int = 1000,
-             min_hot_rows: int = 100_000) -> DataFrame:
-    """Keys of ``right`` holding more than max(min_hot_rows, total/max_hot_keys)
-    rows; at most ``max_hot_keys`` rows by construction."""
+def hot_keys(right: DataFrame, on: list[str], target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Keys of ``right`` with more than ``target_rows`` rows, and their salts."""
     counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = right.agg(F.count(F.lit(1))).scalar()
-    threshold = F.greatest(F.lit(min_hot_rows).cast("double"), total / F.lit(float(max_hot_keys)))
-    return counts.where(F.col("_rows") > threshold).select(*on)
+    return (counts.where(F.col("_rows") > target_rows)
+            .select(*on, F.ceil(F.col("_rows") / target_rows).cast("int").alias(SALTS)))
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-                   salts: int = 32, max_hot_keys: int = 1000,
-                   min_hot_rows: int = 100_000) -> DataFrame:
+                   target_rows: int = TARGET_ROWS) -> DataFrame:
     if how not in ("inner", "left"):
         raise ValueError("skew_safe_join supports inner and left joins")
-    found = hot_keys(right, on, max_hot_keys, min_hot_rows)
-    keys = found.collect()                     # at most max_hot_keys rows by construction
-    if not keys:
-        return left.join(right, on, how)
-    key_frame = left.sparkSession.createDataFrame(keys, found.schema)
-    hot = F.broadcast(key_frame.withColumn(HOT, F.lit(True)))
+    hot = hot_keys(right, on, target_rows)
     lm = left.join(hot, on, "left")
     rm = right.join(hot, on, "left")
-    is_cold = F.col(HOT).isNull()
+    is_cold = F.col(SALTS).isNull()
 
-    cold = lm.where(is_cold).drop(HOT).join(rm.where(is_cold).drop(HOT), on, how)
+    cold = lm.where(is_cold).drop(SALTS).join(rm.where(is_cold).drop(SALTS), on, how)
 
     rcols = right.columns
-    r_hot = (rm.where(~is_cold).drop(HOT)
-               .groupBy(*rcols).agg(F.count(F.lit(1)).alias("_mult"))
-               .withColumn("_salt", F.pmod(F.xxhash64(*rcols), F.lit(salts))))
-    l_hot = (lm.where(~is_cold).drop(HOT)
-               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    r_hot = (rm.where(~is_cold)
+               .groupBy(*rcols, SALTS).agg(F.count(F.lit(1)).alias("_mult"))
+               .withColumn("_salt", F.pmod(F.xxhash64(*rcols), F.col(SALTS)).cast("int")).drop(SALTS))
+    l_hot = (lm.where(~is_cold)
+               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col(SALTS) - 1))).drop(SALTS))
     hot_part = (l_hot.join(r_hot, on + ["_salt"], "inner")
-                     .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mult"))))
+                     .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mult").cast("int"))))
                      .drop("_salt", "_mult", "_copy"))
     return cold.unionByName(hot_part.select(*cold.columns))

@@ -27,7 +27,19 @@ FEATURES_WITH_FEEDBACK = ["city_id_encoded", "day", "acceptance_time", "arrier_t
 FEATURES_REPORT_ONLY = ["city_id_encoded", "day", "acceptance_time", "arrier_time", "pickup_time"]
 
 # Key columns kept next to predictions so rows can be traced back.
-ROW_KEYS = ["city_id", "day", "courier_id", "shop_id"]
+ROW_KEYS = ["city_id", "day", "courier_id", "shop_id", "acceptance_time"]
+
+
+def join_fanout(report: DataFrame, feedback: DataFrame) -> DataFrame:
+    """How the left join on the order key multiplies rows (one row): report
+    rows, joined rows, keys with several notifications, and the most of one."""
+    per_key = feedback.groupBy(*FEEDBACK_JOIN_KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    keys = per_key.agg(F.count_if(F.col("_n") > 1).alias("fanout_keys"), F.max("_n").alias("most_per_key"))
+    rows = report.join(per_key, FEEDBACK_JOIN_KEYS, "left").agg(
+        F.count(F.lit(1)).alias("report_rows"), F.sum(F.coalesce("_n", F.lit(1))).alias("joined_rows"))
+    return rows.select("report_rows", "joined_rows",
+                       keys.select("fanout_keys").scalar().alias("fanout_keys"),
+                       keys.select("most_per_key").scalar().alias("most_per_key"))
 
 
 def feature_frame(report: DataFrame, feedback: DataFrame | None = None,
@@ -54,10 +66,12 @@ def feature_frame(report: DataFrame, feedback: DataFrame | None = None,
 
 
 def hash_split_column(cols, train_percent: int = 80, seed: int = 42) -> Column:
-    """'train' / 'test' from a hash of the row: the same row always lands on
-    the same side, also when a lost task is recomputed."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(100))
-    return F.when(h < train_percent, F.lit("train")).otherwise(F.lit("test"))
+    """'train' / 'test' from the md5 of the row as text: the same row always
+    lands on the same side, and any SQL engine can check it. The first eight
+    hex digits are compared with the share of their range."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    bound = f"{train_percent * 16**8 // 100:08x}" if train_percent < 100 else "g"
+    return F.when(F.substring(F.md5(text), 1, 8) < bound, F.lit("train")).otherwise(F.lit("test"))
 
 
 def split(df: DataFrame, method: str = "hash", train_fraction: float = 0.8, seed: int = 42):
