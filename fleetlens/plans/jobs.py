@@ -7,9 +7,11 @@ package and writes managed tables. Writes are the only actions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.cleaning import clean_audit
+from ..operators.cleaning import clean_audit, clean_table
 from ..operators.faults import fault_rows
 from ..schemas import FEEDBACK_JOIN_KEYS, TABLES
 from ..sources import catalog, csv_files
@@ -36,7 +38,8 @@ def ingest_job(spark: SparkSession, database: str, paths: dict[str, list[str] |
 
 
 def clean_job(tables: CourierTables, database: str, fact_buckets: int | None = None) -> DataFrame:
-    """Write ``{table}_clean`` for the four tables; returns the clean audit.
+    """Write ``{table}_clean`` for the four tables, always from the raw ones
+    (so it can be run again); returns the clean audit.
 
     With ``fact_buckets``, the two fact tables are written bucketed and
     sorted on the 7-column order key of the report ⟕ feedback join, so that
@@ -46,43 +49,48 @@ def clean_job(tables: CourierTables, database: str, fact_buckets: int | None = N
     """
     for t in TABLES:
         bucket = (fact_buckets, FEEDBACK_JOIN_KEYS) if fact_buckets and t in FACT_TABLES else None
-        catalog.write_table(tables.clean(t), database, t + CLEAN_SUFFIX, bucket_by=bucket)
+        catalog.write_table(clean_table(tables.raw(t), t), database, t + CLEAN_SUFFIX, bucket_by=bucket)
     return clean_audit({t: tables.raw(t) for t in TABLES})
 
 
 def result_tables(tables: CourierTables, min_count: int = A.BUSY_HOUR_MIN_COUNT,
-                  quantile_mode: str = "approx") -> dict[str, DataFrame]:
-    """The fourteen result tables of the analysis jobs, as lazy frames."""
-    r, f, c, m = tables.report, tables.feedback, tables.couriers, tables.merchants
+                  quantile_mode: str = "approx") -> dict[str, Callable[[], DataFrame]]:
+    """The fourteen result tables of the analysis jobs; each is built (and
+    any job of its own started) only when it is called."""
+    t = tables
     return {
-        "avg_response_time": A.avg_response_time(f),
-        "courier_response_counts": A.courier_response_counts(f),
-        "courier_final": A.courier_final(r, f, quantile_mode=quantile_mode),
-        "average_delivery_time": A.average_delivery_time(r),
-        "top_busy_hours_per_city": A.top_busy_hours_per_city(r, min_count),
-        "courier_phone_mode_counts": A.courier_phone_mode_counts(c),
-        "courier_os_version_counts": A.courier_os_version_counts(c),
-        "courier_city_phone_mode_favourite": A.courier_city_phone_mode_favourite(c),
-        "shop_brand_counts": A.shop_brand_counts(m),
-        "shop_model_counts": A.shop_model_counts(m),
-        "shop_city_model_favourite": A.shop_city_model_favourite(m),
-        "city_courier_merchant_counts": A.city_courier_merchant_counts(c, m),
-        "shop_order_counts": A.shop_order_counts(f),
-        "shop_top_by_day": A.shop_top_by_day(f),
+        "avg_response_time": lambda: A.avg_response_time(t.feedback),
+        "courier_response_counts": lambda: A.courier_response_counts(t.feedback),
+        "courier_final": lambda: A.courier_final(t.report, t.feedback, quantile_mode=quantile_mode),
+        "average_delivery_time": lambda: A.average_delivery_time(t.report),
+        "top_busy_hours_per_city": lambda: A.top_busy_hours_per_city(t.report, min_count),
+        "courier_phone_mode_counts": lambda: A.courier_phone_mode_counts(t.couriers),
+        "courier_os_version_counts": lambda: A.courier_os_version_counts(t.couriers),
+        "courier_city_phone_mode_favourite": lambda: A.courier_city_phone_mode_favourite(t.couriers),
+        "shop_brand_counts": lambda: A.shop_brand_counts(t.merchants),
+        "shop_model_counts": lambda: A.shop_model_counts(t.merchants),
+        "shop_city_model_favourite": lambda: A.shop_city_model_favourite(t.merchants),
+        "city_courier_merchant_counts": lambda: A.city_courier_merchant_counts(t.couriers, t.merchants),
+        "shop_order_counts": lambda: A.shop_order_counts(t.feedback),
+        "shop_top_by_day": lambda: A.shop_top_by_day(t.feedback),
     }
 
 
 def analysis_job(tables: CourierTables, result_database: str, fmt: str = "orc",
                  min_count: int = A.BUSY_HOUR_MIN_COUNT, only=None) -> list[str]:
     """Write the result tables (ORC by default). Reads clean tables when the
-    source is a catalog holding them, so nothing is re-cleaned per result."""
-    written = []
-    for name, df in result_tables(tables, min_count).items():
-        if only and name not in only:
-            continue
-        catalog.write_table(df, result_database, name, fmt=fmt)
-        written.append(name)
-    return written
+    source has them; otherwise the cleaned fact tables are kept (memory, then
+    disk) while several results read them, and released (O-13)."""
+    builders = {n: b for n, b in result_tables(tables, min_count).items() if not only or n in only}
+    shared = [tables.clean(t).persist() for t in FACT_TABLES
+              if t not in tables.stored_clean and len(builders) > 1]
+    try:
+        for name, build in builders.items():
+            catalog.write_table(build(), result_database, name, fmt=fmt)
+    finally:
+        for df in shared:
+            df.unpersist()
+    return list(builders)
 
 
 def fault_job(spark: SparkSession, database: str, tables=("courier_feedback", "courier_report",

@@ -23,6 +23,7 @@ class CourierTables:
     raw_frames: dict[str, DataFrame]
     clean_frames: dict[str, DataFrame] = field(default_factory=dict)
     raw_builders: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
+    stored_clean: set[str] = field(default_factory=set)     # clean tables that are read, not computed
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "CourierTables":
@@ -31,18 +32,34 @@ class CourierTables:
         return cls(spark, {}, raw_builders=builders)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str, clean_suffix: str | None = "_clean") -> "CourierTables":
-        """Raw tables ``{database}.{name}``, resolved on first use; when
-        ``clean_suffix`` is set and a clean table exists, it is read instead of
-        recomputing the cleaning."""
+    def from_catalog(cls, spark: SparkSession, database: str, clean_suffix: str | None = None) -> "CourierTables":
+        """Raw tables ``{database}.{name}``, resolved on first use, and cleaned
+        from the raw rows. With ``clean_suffix`` the clean tables that exist
+        are read instead: whoever asks for them knows that ``clean_job`` ran
+        after the last load."""
         builders = {t: (lambda t=t: catalog.table(spark, database, t)) for t in TABLES}
         out = cls(spark, {}, raw_builders=builders)
         if clean_suffix:
             for t in TABLES:
                 if catalog.table_exists(spark, database, t + clean_suffix):
                     out.clean_frames[t] = catalog.table(spark, database, t + clean_suffix)
+                    out.stored_clean.add(t)
         return out
 
+    @classmethod
+    def from_clean(cls, spark: SparkSession, folder: str) -> "CourierTables":
+        """Clean tables written by ``write_clean``; there are no raw ones."""
+        frames = {t: spark.read.parquet(f"{folder.rstrip('/')}/{t}") for t in TABLES}
+        return cls(spark, {}, frames, stored_clean=set(TABLES))
+
+    def write_clean(self, folder: str) -> "CourierTables":
+        """Clean once: store the four clean tables as Parquet under ``folder``
+        and return tables that read them, with pruned columns and pushed
+        filters and without the full-row shuffle."""
+        for t in TABLES:
+            self.clean(t).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{t}")
+        return CourierTables.from_clean(self.spark, folder)
+
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, list[str] | str]) -> "CourierTables":
         return cls(spark, {t: csv_files.read_table(spark, t, p) for t, p in paths.items()})

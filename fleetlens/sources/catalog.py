@@ -5,7 +5,6 @@ optional and comes from the caller's session."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 
 def qualified(database: str | None, name: str) -> str:
@@ -45,10 +44,11 @@ def sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = Non
     return spark.sql(text)
 
 
-def schema_of(df: DataFrame) -> T.StructType:
-    """S-9. (P-14 renames and P-15 projections are plain ``alias`` / ``select``
-    in the queries.)"""
-    return df.schema
+def describe(spark: SparkSession, database: str | None, name: str) -> DataFrame:
+    """S-9: the schema of a table as rows (position, column, type)."""
+    fields = table(spark, database, name).schema.fields
+    return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
+                                 "position int, column_name string, data_type string")
 
 
 def write_table(df: DataFrame, database: str | None, name: str, fmt: str | None = None,
