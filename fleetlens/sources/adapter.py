@@ -33,6 +33,12 @@ def _clock(prefix: str, seconds: Column) -> list[Column]:
             _s(seconds).alias(f"{prefix}_second")]
 
 
+def _row_number(key: Column) -> Column:
+    """A 64-bit key as the 32-bit row number of the raw tables; keys beyond
+    wrap, which keeps smaller ones as they are."""
+    return (key % 2147483647).cast("int")
+
+
 def _txt(x: Column) -> Column:
     return x.cast("string")
 
@@ -64,7 +70,7 @@ def _lineitem_keys() -> dict[str, Column]:
 
 def courier_report(lineitem: DataFrame) -> DataFrame:
     ok, pk, ln, flag = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"))
-    no = ok.cast("int")
+    no = _row_number(ok)
     base = _rows(lineitem, {
         "no": no, **_lineitem_keys(),
         "_d1": 60 + (pk * 31) % 900,                   # to arrival
@@ -105,7 +111,7 @@ def courier_feedback(lineitem: DataFrame) -> DataFrame:
 def courier_device(customer: DataFrame) -> DataFrame:
     ck = F.col("c_custkey")
     return customer.select(
-        ck.cast("int").alias("no"),
+        _row_number(ck).alias("no"),
         _txt(1 + ck % 10).alias("city_id"),
         (1 + ck % 7).cast("int").alias("day"),
         F.concat(F.lit("c"), _txt(ck)).alias("courier_id"),
@@ -117,7 +123,7 @@ def courier_device(customer: DataFrame) -> DataFrame:
 def merchant_device(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     return part.select(
-        pk.cast("int").alias("no"),
+        _row_number(pk).alias("no"),
         F.when(pk % 500 == 499, F.lit("error")).otherwise(_txt(1 + pk % 10)).alias("city_id"),
         (1 + pk % 7).cast("int").alias("day"),
         F.concat(F.lit("s"), _txt(pk % 200)).alias("shop_id"),
@@ -128,22 +134,24 @@ def merchant_device(part: DataFrame) -> DataFrame:
     )
 
 
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Guarantee enough input tasks for the cores available.
-
-    A source stored as one large row group yields a single scan task, which
-    would run the whole derivation and the map side of every aggregate alone.
-    When the scan has fewer splits than the cluster has cores, the (already
-    column-pruned) rows are spread round-robin once; Spark sorts before a
-    round-robin exchange, so a retried task re-sends the same rows. At scale
-    the scan has far more splits than cores and nothing is added.
+    """Enough input tasks for a small scan.
+
+    A small source stored as one row group is one scan task, which would run
+    the derivation and the map side of every aggregate alone. If the scan is
+    estimated at no more than ``SPREAD_BYTES`` and has fewer splits than the
+    cluster has cores, its rows are spread round-robin once (sorted first, so
+    a retried task sends the same rows). A larger scan is left as it is: its
+    splits are set by ``spark.sql.files.maxPartitionBytes``.
     """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as it is
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BYTES:
         return df
-    return df.repartition(want) if have < want else df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -162,7 +170,3 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw courier table derived from the driver tables under ``sf_dir``."""
     source, build = _BUILDERS[name]
     return build(_read(spark, sf_dir, source))
-
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: raw_table(spark, sf_dir, name) for name in _BUILDERS}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_INLINE_ROWS = 10_000
+MAX_INLINE_ROWS = 10_000   # larger mappings are joined without a broadcast hint
 
 # Fixed values. These must equal the source data's own labels.
 # Notification feedback code → label: 0 "try later", 1 "confirm".
@@ -33,11 +33,6 @@ class InlineDim:
     value: str
     mapping: dict
 
-    def __post_init__(self):
-        if len(self.mapping) > MAX_INLINE_ROWS:
-            raise ValueError(f"inline dimension {self.key} has {len(self.mapping)} rows; "
-                             f"the broadcast bound is {MAX_INLINE_ROWS}")
-
     def frame(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType([T.StructField(self.key, T.LongType(), False),
                                T.StructField(self.value, T.StringType(), False)])
@@ -55,7 +50,7 @@ class InlineDim:
         dim = self.frame(df.sparkSession)
         if key != self.key:
             dim = dim.withColumnRenamed(self.key, key)
-        return fact.join(F.broadcast(dim), on=[key], how=how)
+        return fact.join(F.broadcast(dim) if len(self.mapping) <= MAX_INLINE_ROWS else dim, on=[key], how=how)
 
 
 FEEDBACK_DIM = InlineDim("feedback", "feedback_tran", FEEDBACK_LABELS)
