@@ -125,8 +125,3 @@ def clean_audit(raw: dict[str, DataFrame]) -> DataFrame:
 def fill_missing(df: DataFrame, values: dict | None = None) -> DataFrame:
     """L-9: fill NULLs column by column."""
     return df.fillna(values or NO_NOTIFICATION_FILL)
-
-
-def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
-    """L-8."""
-    return df.drop(*cols)

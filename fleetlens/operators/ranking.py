@@ -59,8 +59,3 @@ def favourite(df: DataFrame, group: str, item: str, count_col: str = "count") ->
     counts = count_by(df, [group, item], count_col)
     return (rank_within(counts, group, count_col, 1, method="row_number",
                         tie_break=[item], rank_col="_rn").drop("_rn"))
-
-
-def having(df: DataFrame, predicate) -> DataFrame:
-    """F-3: filter after aggregation."""
-    return df.where(predicate)

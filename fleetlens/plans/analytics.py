@@ -1,9 +1,11 @@
 """The named delivery-operations analytics (N-1 .. N-21).
 
-Each function takes clean courier tables and returns one lazy DataFrame:
-no action, no driver round trip. Scalars (averages, quantile bounds) stay
+Each function takes clean courier tables and returns one lazy DataFrame: no
+action, no driver round trip. Scalars (averages, quantile bounds) stay
 inside the plan as one-row aggregates or scalar subqueries, so the caller
-decides when and where the work runs.
+decides when and where the work runs. The exception is ``courier_final``
+when it is asked to store its per-courier frame (always in exact mode),
+which runs jobs while it is built.
 """
 
 from __future__ import annotations
@@ -56,17 +58,18 @@ def courier_avg_work_duration(report: DataFrame) -> DataFrame:
                   .agg(F.avg("_w").alias("avg_work_duration_seconds")))
 
 
-def _with_delivery_seconds(report: DataFrame) -> DataFrame:
+def _with_delivery_seconds(report: DataFrame, wrap: str = "none") -> DataFrame:
     return report.withColumn("total_delivery_time_seconds",
-                             duration_seconds("acceptance", "delivery", wrap="none"))
+                             duration_seconds("acceptance", "delivery", wrap=wrap))
 
 
-def average_delivery_time(report: DataFrame) -> DataFrame:
-    """N-10: mean delivery time, no midnight wrap (overnight orders count
-    negative, as in the source analysis). A-3 average and P-13 seconds →
-    minutes, kept as a lazy one-row frame (S-8)."""
+def average_delivery_time(report: DataFrame, wrap: str = "none") -> DataFrame:
+    """N-10: mean delivery time, by default without midnight wrap (overnight
+    orders count negative, as in the source analysis); ``wrap="midnight"``
+    counts them right. A-3 average and P-13 seconds → minutes, kept as a lazy
+    one-row frame (S-8)."""
     avg = F.avg("total_delivery_time_seconds")
-    return _with_delivery_seconds(report).agg(
+    return _with_delivery_seconds(report, wrap).agg(
         avg.alias("average_delivery_second"), (avg / 60).alias("average_delivery_minute"))
 
 
@@ -82,11 +85,13 @@ def delivery_time_by_city_hour(report: DataFrame, min_count: int = BUSY_HOUR_MIN
 
 def top_busy_hours_per_city(report: DataFrame, min_count: int = BUSY_HOUR_MIN_COUNT,
                             k: int = TOP_RANK) -> DataFrame:
-    """N-12: the ``k`` slowest acceptance hours per city (ties kept), named."""
+    """N-12: the ``k`` slowest acceptance hours per city (ties kept), named,
+    slowest first; sorted after the join, which would not keep an order."""
     ranked = rank_within(delivery_time_by_city_hour(report, min_count), "city_id",
                          "avg_delivery_time_seconds", k)
     return (CITY_DIM.join(ranked, "city_id")
-            .select("city_name", "acceptance_hour", "avg_delivery_time_seconds", "count"))
+            .select("city_name", "acceptance_hour", "avg_delivery_time_seconds", "count")
+            .orderBy(F.desc("avg_delivery_time_seconds"), "city_name", "acceptance_hour"))
 
 
 # ---------------------------------------------------------------- feedback
@@ -131,7 +136,7 @@ def courier_order_counts(feedback: DataFrame) -> DataFrame:
 
 
 def courier_final(report: DataFrame, feedback: DataFrame, quantile_mode: str = "approx",
-                  accuracy: int = 1000, materialize_per_courier: bool = True) -> DataFrame:
+                  accuracy: int = 1000, materialize_per_courier: bool = False) -> DataFrame:
     """N-9: per courier, order count and mean work time, scored 0..100
     between their 1% and 99% quantiles and combined 0.4 / 0.6.
 
@@ -140,8 +145,8 @@ def courier_final(report: DataFrame, feedback: DataFrame, quantile_mode: str = "
     enter as one scalar subquery (no cross join, no driver round trip). The
     per-courier frame (one row per courier) feeds both the bounds and the
     scores, so it is checkpointed once to the shared checkpoint folder
-    (required in exact mode, whose bounds run jobs of their own; optional in
-    approximate mode, where a fully lazy plan reuses the shuffles instead).
+    in exact mode, whose bounds run jobs of their own; approximate mode is a
+    lazy plan that reuses the shuffles, unless ``materialize_per_courier``.
     """
     orders = count_by(labelled_feedback(feedback), "courier_id", "order_count")
     per_courier = orders.join(courier_avg_work_duration(report), "courier_id")   # J-4
@@ -163,12 +168,12 @@ def courier_final(report: DataFrame, feedback: DataFrame, quantile_mode: str = "
                                            b[quantile_name(cnt, hi)], higher_is_better=True),
     })
     out = scored.withColumn("final_score", weighted_sum(SCORE_WEIGHTS)).drop(*SCORE_WEIGHTS)
-    return out.select("courier_id", cnt, work, "final_score")
+    return sort_desc(out.select("courier_id", cnt, work, "final_score"), "final_score", tie_break=["courier_id"])
 
 
 def shop_order_counts(feedback: DataFrame) -> DataFrame:
-    """N-20: notification rows per shop (all codes)."""
-    return count_by(feedback, "shop_id", "order_count")
+    """N-20: notification rows per shop (all codes), most first."""
+    return sort_desc(count_by(feedback, "shop_id", "order_count"), "order_count", tie_break=["shop_id"])
 
 
 def shop_top_by_day(feedback: DataFrame, k: int = TOP_RANK) -> DataFrame:
@@ -221,10 +226,16 @@ def shop_city_model_favourite(merchants: DataFrame, n: int = TOP_N) -> DataFrame
     return _city_favourite(merchants, "model", n)
 
 
-def city_courier_merchant_counts(couriers: DataFrame, merchants: DataFrame) -> DataFrame:
-    """N-19: device rows per city on both sides (rows, not distinct ids);
-    J-4 joins the two per-city aggregates, J-2 names the city."""
-    c = count_by(_int_city(couriers), "city_id", "courier_count")
-    m = count_by(_int_city(merchants), "city_id", "merchant_count")
+def city_courier_merchant_counts(couriers: DataFrame, merchants: DataFrame,
+                                 distinct: bool = False) -> DataFrame:
+    """N-19: device rows per city on both sides (``distinct=True``: couriers
+    and shops instead of rows); J-4 joins the two per-city aggregates, J-2
+    names the city."""
+    if distinct:
+        c = _int_city(couriers).groupBy("city_id").agg(F.count_distinct("courier_id").alias("courier_count"))
+        m = _int_city(merchants).groupBy("city_id").agg(F.count_distinct("shop_id").alias("merchant_count"))
+    else:
+        c = count_by(_int_city(couriers), "city_id", "courier_count")
+        m = count_by(_int_city(merchants), "city_id", "merchant_count")
     return CITY_DIM.join(c.join(m, "city_id"), "city_id").select(
         "city_name", "courier_count", "merchant_count")
