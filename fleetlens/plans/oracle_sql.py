@@ -8,8 +8,16 @@ Spark implementation. Every computed column is aliased to the Spark name.
 
 from __future__ import annotations
 
-from ..schemas import FEEDBACK_STAGES, REPORT_STAGES, stage_columns
-from ..sources.dims import CITY_NAMES, FEEDBACK_LABELS
+# Fixed values, written out here so that the oracle shares none with the
+# engine: stages, city names and feedback labels of the source data.
+REPORT_STAGES = ("acceptance", "arrier", "pickup", "delivery")
+FEEDBACK_STAGES = ("acceptance", "feedback")
+CITY_NAMES = {1: "上海", 2: "杭州", 3: "深圳", 4: "北京", 5: "潍坊", 6: "广州", 7: "遂宁", 8: "西宁", 9: "定安", 10: "廊坊"}
+FEEDBACK_LABELS = {0: "稍后尝试", 1: "确认"}
+
+
+def stage_columns(stages):
+    return [f"{s}_{p}" for s in stages for p in ("hour", "minute", "second")]
 
 
 def _h(x):
@@ -60,7 +68,7 @@ li AS (
          5 + (l_partkey * 7) % 240 AS dfb
   FROM lineitem),
 report_once AS (
-  SELECT cast(l_orderkey as int) AS no,
+  SELECT cast(l_orderkey % 2147483647 as int) AS no,
          cast(1 + l_suppkey % 9 as varchar) AS city_id,
          cast(1 + l_orderkey % 7 as int) AS day,
          'c' || cast(l_suppkey as varchar) AS courier_id,
@@ -87,7 +95,7 @@ feedback_once AS (
 courier_feedback AS (
   SELECT * FROM feedback_once UNION ALL SELECT * FROM feedback_once WHERE gps_measure_offset = 3),
 courier_device AS (
-  SELECT cast(c_custkey as int) AS no,
+  SELECT cast(c_custkey % 2147483647 as int) AS no,
          cast(1 + c_custkey % 10 as varchar) AS city_id,
          cast(1 + c_custkey % 7 as int) AS day,
          'c' || cast(c_custkey as varchar) AS courier_id,
@@ -95,7 +103,7 @@ courier_device AS (
          c_mktsegment AS phone_mode
   FROM customer),
 merchant_device AS (
-  SELECT cast(p_partkey as int) AS no,
+  SELECT cast(p_partkey % 2147483647 as int) AS no,
          case when p_partkey % 500 = 499 then 'error' else cast(1 + p_partkey % 10 as varchar) end AS city_id,
          cast(1 + p_partkey % 7 as int) AS day,
          's' || cast(p_partkey % 200 as varchar) AS shop_id,
@@ -280,6 +288,72 @@ SELECT 'all' AS split, 'pickup_plus_mean_gap' AS model,
 FROM p""")
 
 
+def _feature_select(with_feedback: bool) -> tuple[str, str]:
+    """(CTEs after the base ones, final select) of the feature frame."""
+    text = feature_frame_sql(with_feedback)
+    at = text.rindex("SELECT try_cast")
+    return text[:at], text[at:]
+
+
+_SPLIT_COLS = {
+    True: ["city_id", "day", "courier_id", "shop_id", "feedback", "distance_to_merchant", "gps_measure_offset",
+           "has_system_notification", "acceptance_time", "arrier_time", "pickup_time", "feedback_time", "delivery_time"],
+    False: ["city_id", "day", "courier_id", "shop_id", "acceptance_time", "arrier_time", "pickup_time", "delivery_time"],
+}
+
+
+def split_sql(with_feedback: bool) -> str:
+    """80 of 100: the first eight hex digits of the row's md5 under 0xcccccccc."""
+    head, select = _feature_select(with_feedback)
+    text = " || '|' || ".join(["'42'"] + [f"coalesce(cast({c} as varchar), '')" for c in _SPLIT_COLS[with_feedback]])
+    return f"""{head.rstrip()}, ff AS ({select.strip()})
+SELECT *, case when substr(md5({text}), 1, 8) < 'cccccccc' then 'train' else 'test' end AS split FROM ff"""
+
+
+def scaled_sql(with_feedback: bool) -> str:
+    """One slot per city id 0..8, then the other features, each scaled to its
+    own range (a constant slot is 0.5)."""
+    head, select = _feature_select(with_feedback)
+    rest = (["day", "acceptance_time", "arrier_time", "pickup_time", "feedback_time", "feedback", "distance_to_merchant",
+             "gps_measure_offset", "has_system_notification"] if with_feedback
+            else ["day", "acceptance_time", "arrier_time", "pickup_time"])
+    raw = [f"case when city_id = {k} then 1.0 else 0.0 end" for k in range(9)] + [f"cast({c} as double)" for c in rest]
+    values = ", ".join(f"cast({x} as double) AS v{i}" for i, x in enumerate(raw))
+    scaled = ", ".join(f"case when max(v{i}) OVER () = min(v{i}) OVER () then 0.5 else (v{i} - min(v{i}) OVER ())"
+                       f" * (1.0::double / (max(v{i}) OVER () - min(v{i}) OVER ())) end AS f{i}" for i in range(len(raw)))
+    return f"""{head.rstrip()}, ff AS ({select.strip()}),
+raw AS (SELECT city_id, day, courier_id, shop_id, acceptance_time, {values} FROM ff)
+SELECT city_id, day, courier_id, shop_id, acceptance_time, {scaled} FROM raw"""
+
+
+def fusion_check_sql() -> str:
+    return f"""SELECT split, count(*) AS predictions, 0::bigint AS off_mean
+FROM ({split_sql(False)}) GROUP BY split"""
+
+
+_FAULT_KINDS = {
+    "courier_feedback": "s i s s i i i i i i i d i".split(),
+    "courier_report": "i s i s s".split() + ["i"] * 12,
+    "merchant_device": "i s i s s s s s".split(),
+}
+
+
+def inject_faults_sql(table: str, seed: int = 7) -> str:
+    """The raw table, the incomplete rows and the sentinel rows, by the rules of FIXTURES.md §3 in integers."""
+    cols = {"courier_feedback": _FEEDBACK_COLS, "courier_report": _REPORT_COLS, "merchant_device": _MDEV_COLS}[table]
+    nulls, sentinels = [], []
+    for i, (c, kind) in enumerate(zip(cols, _FAULT_KINDS[table], strict=True)):
+        x = f"(id * 7919 + {i * 104729 + seed * 1299709})"
+        nulls.append({"s": f"cast(null as varchar) AS {c}", "i": f"cast({x} % 100 + 1 as int) AS {c}",
+                      "d": f"cast({x} % 10000 as double) / 100.0 AS {c}"}[kind])
+        sentinels.append({"s": f"'error' AS {c}", "i": f"cast(-100 as int) AS {c}", "d": f"cast(-100.0 as double) AS {c}"}[kind])
+    n_null, n_sent = (1000 + (seed * 7919 + k * 104729) % 1001 for k in (0, 1))
+    return with_base(f"""
+SELECT {", ".join(cols)} FROM {table}
+UNION ALL SELECT {", ".join(nulls)} FROM range({n_null}) AS t(id)
+UNION ALL SELECT {", ".join(sentinels)} FROM range({n_sent}) AS t(id)""")
+
+
 def _clean_after_faults_sql(table: str) -> str:
     if table == "merchant_device":
         # the sentinel rows are complete and pass (no rule): one survives the dedupe
@@ -336,6 +410,39 @@ SELECT avg(diff) AS average_delivery_second, avg(diff) / 60 AS average_delivery_
   mc AS (SELECT try_cast(city_id as int) AS city_id, count(*) AS merchant_count FROM merchant_device_clean GROUP BY 1)
 SELECT d.city_name, cc.courier_count, mc.merchant_count
 FROM cc JOIN mc ON cc.city_id = mc.city_id JOIN city_dim d ON cast(cc.city_id as bigint) = d.city_id"""),
+        "average_delivery_time_wrapped": with_base(f"""
+SELECT avg({_WORK}) AS average_delivery_second, avg({_WORK}) / 60 AS average_delivery_minute FROM timed"""),
+        "courier_final_approx": courier_final_sql(),
+        "city_distinct_entity_counts": with_base("""
+, cc AS (SELECT try_cast(city_id as int) AS city_id, count(DISTINCT courier_id) AS courier_count FROM courier_device_clean GROUP BY 1),
+  mc AS (SELECT try_cast(city_id as int) AS city_id, count(DISTINCT shop_id) AS merchant_count FROM merchant_device_clean GROUP BY 1)
+SELECT d.city_name, cc.courier_count, mc.merchant_count
+FROM cc JOIN mc ON cc.city_id = mc.city_id JOIN city_dim d ON cast(cc.city_id as bigint) = d.city_id"""),
+        "feedback_join_fanout": with_base("""
+, k AS (SELECT city_id, day, courier_id, shop_id, acceptance_hour, acceptance_minute, acceptance_second, count(*) AS n
+        FROM feedback_clean GROUP BY ALL),
+  j AS (SELECT coalesce(k.n, 1) AS n FROM report_clean r LEFT JOIN k USING
+        (city_id, day, courier_id, shop_id, acceptance_hour, acceptance_minute, acceptance_second))
+SELECT count(*) AS report_rows, cast(sum(n) as bigint) AS joined_rows,
+       (SELECT count(*) FROM k WHERE n > 1) AS fanout_keys, (SELECT max(n) FROM k) AS most_per_key
+FROM j"""),
+        "hot_key_join": with_base("""
+, d AS (SELECT city_id, count(*) AS devices FROM courier_device_clean GROUP BY city_id)
+SELECT r.city_id, d.devices, r.no, r.courier_id FROM d JOIN report_clean r ON d.city_id = r.city_id"""),
+        "train_test_split_with_feedback": split_sql(True),
+        "train_test_split_report_only": split_sql(False),
+        "scaled_features_with_feedback": scaled_sql(True),
+        "scaled_features_report_only": scaled_sql(False),
+        "fusion_check_report_only": fusion_check_sql(),
+        "inject_faults_courier_feedback": inject_faults_sql("courier_feedback"),
+        "inject_faults_courier_report": inject_faults_sql("courier_report"),
+        "inject_faults_merchant_device": inject_faults_sql("merchant_device"),
+        "csv_round_trip_courier_device": with_base("SELECT * FROM courier_device"),
+        "catalog_round_trip_merchant_device": with_base(
+            "SELECT *, 1::bigint AS tables_listed, 8::bigint AS columns_described FROM merchant_device"),
+        "sql_view_orders_by_city_day": with_base("""
+SELECT city_id, day, count(*) AS orders, count(DISTINCT courier_id) AS couriers
+FROM report_clean GROUP BY city_id, day HAVING count(*) > 100"""),
         "shop_order_counts": with_base("""
 SELECT shop_id, count(*) AS order_count FROM feedback_clean GROUP BY shop_id"""),
         "shop_top_by_day": with_base("""
@@ -354,4 +461,5 @@ SELECT day, shop_id, shop_day_count FROM r WHERE rk <= 3"""),
         "feature_frame_report_only": feature_frame_sql(False),
         "baseline_model_metrics": baseline_metrics_sql(),
     }
+    q["orc_result_shop_top_by_day"] = q["shop_top_by_day"]
     return q

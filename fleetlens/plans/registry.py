@@ -5,20 +5,26 @@ and runs over all of their rows. The HAVING threshold of the busy-hours
 queries is the one parameter fixed per registration: the source analysis
 uses 1000 orders per (city, hour), which no group reaches at the 0.01 scale
 the SQL check runs at, so the checked registration uses 260 and a second
-registration keeps 1000.
+registration keeps 1000 (empty there, 13 rows at 0.1).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean_audit, clean_table
 from ..operators.faults import inject_faults
+from ..operators.joins import skew_safe_join
+from ..session import ensure_checkpoint_dir
+from ..sources import catalog, csv_files
 from . import analytics as A
+from . import jobs
 from . import models as M
-from .features import feature_frame
+from .features import feature_frame, join_fanout
 from .tables import CourierTables
 
 CHECK_MIN_COUNT = 260
@@ -46,6 +52,7 @@ ANALYTICS: dict[str, Query] = {
     "courier_final": _on(lambda t: A.courier_final(t.report, t.feedback, quantile_mode="exact")),
     "courier_final_approx": _on(lambda t: A.courier_final(t.report, t.feedback, quantile_mode="approx")),
     "average_delivery_time": _on(lambda t: A.average_delivery_time(t.report)),
+    "average_delivery_time_wrapped": _on(lambda t: A.average_delivery_time(t.report, wrap="midnight")),
     "delivery_time_by_city_hour": _on(lambda t: A.delivery_time_by_city_hour(t.report, CHECK_MIN_COUNT)),
     "top_busy_hours_per_city": _on(lambda t: A.top_busy_hours_per_city(t.report, CHECK_MIN_COUNT)),
     "top_busy_hours_per_city_min1000": _on(lambda t: A.top_busy_hours_per_city(t.report, 1000)),
@@ -56,6 +63,7 @@ ANALYTICS: dict[str, Query] = {
     "shop_model_counts": _on(lambda t: A.shop_model_counts(t.merchants)),
     "shop_city_model_favourite": _on(lambda t: A.shop_city_model_favourite(t.merchants)),
     "city_courier_merchant_counts": _on(lambda t: A.city_courier_merchant_counts(t.couriers, t.merchants)),
+    "city_distinct_entity_counts": _on(lambda t: A.city_courier_merchant_counts(t.couriers, t.merchants, distinct=True)),
     "shop_order_counts": _on(lambda t: A.shop_order_counts(t.feedback)),
     "shop_top_by_day": _on(lambda t: A.shop_top_by_day(t.feedback)),
     # N-22 .. N-25: the clean tables
@@ -81,6 +89,50 @@ def _features(with_feedback: bool) -> Query:
     return _on(lambda t: feature_frame(t.report, t.feedback if with_feedback else None))
 
 
+def _split_query(with_feedback: bool) -> Query:
+    return _on(lambda t: M.with_split(feature_frame(t.report, t.feedback if with_feedback else None)))
+
+
+def _hot_key_join(t: CourierTables):
+    """J-5's join where each key is hot: devices per city with every order of
+    the city, a thousand rows to a salt."""
+    devices = t.couriers.groupBy("city_id").agg(F.count(F.lit(1)).alias("devices"))
+    return skew_safe_join(devices, t.report.select("city_id", "no", "courier_id"), ["city_id"], target_rows=1000)
+
+
+def _csv_round_trip(t: CourierTables):
+    """S-1, S-2: the table written as delimited files, read back by its schema."""
+    folder = f"{ensure_checkpoint_dir(t.spark)}/csv-{uuid.uuid4().hex}"
+    csv_files.write_table(t.raw("courier_device"), folder)
+    return csv_files.read_table(t.spark, "courier_device", folder)
+
+
+def _catalog_round_trip(t: CourierTables):
+    """S-3, S-4, S-9, S-10, K-1, K-3: overwrite, append, list and describe a
+    catalog table; every row with the number of tables and columns."""
+    db = f"round_trip_{uuid.uuid4().hex[:12]}"
+    raw, odd = t.raw("merchant_device"), F.col("no") % 2 == 1
+    catalog.write_table(raw.where(~odd), db, "merchant_device")
+    catalog.append_table(raw.where(odd), db, "merchant_device")
+    listed, described = catalog.list_tables(t.spark, db), catalog.describe(t.spark, db, "merchant_device")
+    return catalog.table(t.spark, db, "merchant_device").withColumns({
+        "tables_listed": F.lit(listed.where("not isTemporary").count()), "columns_described": F.lit(described.count())})
+
+
+def _sql_view(t: CourierTables):
+    """S-6, S-7: SQL text over a registered view."""
+    return catalog.sql(t.spark, """
+        SELECT city_id, day, COUNT(*) AS orders, COUNT(DISTINCT courier_id) AS couriers
+        FROM report_view GROUP BY city_id, day HAVING COUNT(*) > 100""", views={"report_view": t.report})
+
+
+def _orc_result(t: CourierTables):
+    """K-2: a result table as ORC, read back from the catalog."""
+    db = f"result_{uuid.uuid4().hex[:12]}"
+    jobs.analysis_job(t, db, only=["shop_top_by_day"])
+    return catalog.table(t.spark, db, "shop_top_by_day")
+
+
 def _predictions(with_feedback: bool) -> Query:
     def build(t: CourierTables):
         preds, _ = M.run_models(feature_frame(t.report, t.feedback if with_feedback else None),
@@ -110,6 +162,13 @@ QUALITY: dict[str, Query] = {
 MODELS: dict[str, Query] = {
     "feature_frame_with_feedback": _features(True),
     "feature_frame_report_only": _features(False),
+    "feedback_join_fanout": _on(lambda t: join_fanout(t.report, t.feedback)),
+    "hot_key_join": _on(_hot_key_join),
+    "train_test_split_with_feedback": _split_query(True),
+    "train_test_split_report_only": _split_query(False),
+    "scaled_features_with_feedback": _on(lambda t: M.scaled_features(feature_frame(t.report, t.feedback), True)),
+    "scaled_features_report_only": _on(lambda t: M.scaled_features(feature_frame(t.report), False)),
+    "fusion_check_report_only": _on(lambda t: M.fusion_check(M.run_models(feature_frame(t.report), False)[0])),
     "baseline_model_metrics": _on(lambda t: M.baseline_metrics(feature_frame(t.report))),
     "delivery_predictions_with_feedback": _predictions(True),
     "delivery_predictions_report_only": _predictions(False),
@@ -118,5 +177,14 @@ MODELS: dict[str, Query] = {
 }
 
 
+# S-1 .. S-10 and K-1 .. K-3: sources and sinks, round trip
+STORAGE: dict[str, Query] = {
+    "csv_round_trip_courier_device": _on(_csv_round_trip),
+    "catalog_round_trip_merchant_device": _on(_catalog_round_trip),
+    "sql_view_orders_by_city_day": _on(_sql_view),
+    "orc_result_shop_top_by_day": _on(_orc_result),
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**ANALYTICS, **QUALITY, **MODELS}
+    return {**ANALYTICS, **QUALITY, **MODELS, **STORAGE}

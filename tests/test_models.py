@@ -41,3 +41,20 @@ def test_ensemble_one_row_per_input(tables):
     mean_rmse = preds.agg(F.stddev_pop("delivery_time")).first()[0]
     assert metrics[("fusion", "test")].rmse < mean_rmse
     assert all(r.fit_seconds > 0 for r in metrics.values())
+
+
+def test_training_partitions_follow_from_the_rows(tables):
+    ff = feature_frame(tables.report)
+    parts = []
+    for n in (2, 5):
+        dealt = M.training_partitions(ff.repartition(n), 5404, 1000)
+        parts.append(dealt.rdd.glom().map(lambda rows: [tuple(r) for r in rows]).collect())
+    assert parts[0] == parts[1] and len(parts[0]) == 6
+
+
+def test_join_is_lazy(spark, tables):
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy", "building must start no job")
+    feature_frame(tables.report, tables.feedback)
+    assert not sc.statusTracker().getJobIdsForGroup("lazy")
+    sc._jsc.clearJobGroup()

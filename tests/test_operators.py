@@ -89,7 +89,7 @@ def test_skew_safe_join_equals_plain_join(spark, how):
                                  "k string, a int")
     right = spark.createDataFrame([("hot", j % 50) for j in range(400)] + [(f"k{j}", j) for j in range(5)]
                                   + [("hot", 1)] * 3, "k string, b int")
-    got = skew_safe_join(left, right, ["k"], how, salts=4, max_hot_keys=2, min_hot_rows=10)
+    got = skew_safe_join(left, right, ["k"], how, target_rows=10)
     want = left.join(right, ["k"], how)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
