@@ -37,6 +37,7 @@ def _on(fn: Callable[[CourierTables], DataFrame]) -> Query:
         return fn(CourierTables.from_testdata(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
+    run.build = fn               # the query on tables of any source
     return run
 
 
