@@ -30,7 +30,7 @@ from .common import arrow_id, bound_batches, full_text, pairs, rows_to_batch, st
 SEQ_LEN = 1024
 END_ID = 2
 # Pieces of one length are ranked in buckets of about this many.
-RANK_BUCKET = 50_000
+RANK_BUCKET = 1_000
 TOKENIZER = "byte_bpe_50k"
 
 
