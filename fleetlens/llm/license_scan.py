@@ -2,16 +2,18 @@
 
 Lines of a document with a license word (and the lines between two of them
 that are close) are candidate blocks. Each block is compressed alone and with
-every template as a raw zstandard dictionary; the templates are ranked by how
-much smaller it gets. The best ones are confirmed by their exact wording: the
-template's words are aligned with the block's, and a template wins if the
-block has enough of them and all of its distinctive ones (names and versions). Words
-left out, put in and replaced between the first and the last aligned word
-are reported.
+every template as a raw zstandard dictionary; how much smaller it gets is the
+template's gain. Every template whose distinctive words (names and versions)
+are in the block or as many words around it as the longest template has, is
+confirmed by its wording, whatever its gain: its words are aligned with the
+block's, first where they stand verbatim, then around each place of its rarest
+distinctive word, and an alignment counts if it has enough of them and all of
+the distinctive ones. Words left out, put in and replaced between the first
+and the last aligned word are reported.
 
 Cases: null or empty text has no findings; positions are code points, end
-exclusive; several findings of a block don't overlap each other in their
-template (one per license); repeated rows are each scanned; a null doc_id is
+exclusive; findings of one license in a document don't overlap (that with most
+of its template's words stays); repeated rows are each scanned; a null doc_id is
 kept; other columns are ignored; an empty table gives no rows.
 """
 
@@ -59,11 +61,11 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered"),
     ("Proprietary", "All rights reserved.", "rights reserved"),
 )
-CUE = re.compile(r"licen[cs]|copyright|permission|redistribut|warrant|all rights|public domain|spdx|"
-                 r"free software|creative commons|\bcc0\b|\bcc by", re.I)
+CUE = re.compile(r"licen[cs]|copyright|permission|redistribut|warrant|all\s+rights|public\s+domain|spdx|"
+                 r"free\s+software|creative\s+commons|\bcc0\b|\bcc\s+by", re.I)
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
 BETWEEN = 2                # lines without a license word inside a block
-RANKED, LEAST_GAIN, LEAST_WORDS = 4, 0.15, 0.8
+LEAST_WORDS = 0.8
 REMEMBERED = 20_000
 
 
@@ -96,57 +98,121 @@ class Templates:
             d = z.ZstdCompressionDict(wording.lower().encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
             self.rows.append((name, [m.group() for m in WORD.finditer(wording.lower())], set(distinct.split()),
                               z.ZstdCompressor(dict_data=d, **plain)))
+        self.longest = max(len(r[1]) for r in self.rows)
         self.known: dict[str, list] = {}
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """(gain, template) by falling share of bytes saved."""
-        b = block.lower().encode("utf-8", "surrogatepass")
-        base = len(self.alone.compress(b))
-        return sorted(((1 - len(r[3].compress(b)) / base, i) for i, r in enumerate(self.rows)), key=lambda x: (-x[0], x[1]))
-
-    def findings(self, block: str) -> list[tuple]:
-        """(start, end, license, gain, coverage, exact, differences) in a block."""
         if (out := self.known.get(block)) is not None:
             return out
-        low = block.lower()
-        low = low if len(low) == len(block) else block
-        found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(low)]
-        mine = [f[0] for f in found]
-        best: dict[str, tuple] = {}
-        order = self.ranked(block)
-        # a block of several notices saves little with each of them: rank, but try all that have their words
-        have = set(mine)
-        tried = [x for k, x in enumerate(order) if self.rows[x[1]][2] <= have and (k < RANKED or x[0] >= LEAST_GAIN or len(mine) > 40)]
-        for gain, i in tried:
-            name, words, _, _ = self.rows[i]
-            runs = [r for r in difflib.SequenceMatcher(None, mine, words, autojunk=False).get_matching_blocks() if r.size]
-            cover = sum(r.size for r in runs) / len(words)
-            if cover < LEAST_WORDS:
-                continue
-            first, last = runs[0].a, runs[-1].a + runs[-1].size
-            differ, x, y = [], runs[0].a, 0
-            for r in [*runs, None]:
-                ax, by = (r.a, r.b) if r else (last, len(words))
-                gone, new = " ".join(words[y:by]), " ".join(mine[x:ax])
-                if gone or new:
-                    differ.append(f"-{gone}" if not new else f"+{new}" if not gone else f"{gone}>{new}")
-                if r:
-                    x, y = r.a + r.size, r.b + r.size
-            if last - first > 2 * len(words):
-                continue                                   # words scattered over other text
-            row = (found[first][1], found[last - 1][2], name, gain, cover, not differ, "; ".join(differ))
-            if name not in best or (row[4], len(words)) > (best[name][0][4], best[name][1]):
-                best[name] = (row, len(words))
-        out = sorted(r for r, _ in best.values())
+        b = block.lower().encode("utf-8", "surrogatepass")
+        base = len(self.alone.compress(b))
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        self.known[block] = out
+        out = self.known[block] = sorted(((1 - len(r[3].compress(b)) / base, i) for i, r in enumerate(self.rows)), key=lambda x: (-x[0], x[1]))
         return out
 
+    def findings(self, block: str, before: str = "", after: str = "") -> list[tuple]:
+        """(start, end, license, gain, coverage, exact, differences) in a block
+        and the text around it; positions count from the block's start."""
+        whole = before + block + after
+        low = whole.lower()
+        low = low if len(low) == len(whole) else whole
+        found = [(m.group(), m.start() - len(before), m.end() - len(before)) for m in WORD.finditer(low)]
+        mine = [f[0] for f in found]
+        places: dict[str, list[int]] = {}
+        for i, w in enumerate(mine):
+            places.setdefault(w, []).append(i)
+        tried = {i for i, r in enumerate(self.rows) if r[2] <= places.keys()}
+        out = []
+        for gain, i in self.ranked(block) if tried else ():
+            if i not in tried:
+                continue
+            name, words, distinct, _ = self.rows[i]
+            for runs in alignments(mine, words, distinct, places):
+                first, last = runs[0][0], runs[-1][0] + runs[-1][2]
+                differ, x, y = [], first, 0
+                for ax, by, n in [*runs, (last, len(words), 0)]:
+                    gone, new = " ".join(words[y:by]), " ".join(mine[x:ax])
+                    if gone or new:
+                        differ.append(f"-{gone}" if not new else f"+{new}" if not gone else f"{gone}>{new}")
+                    x, y = ax + n, by + n
+                cover = sum(r[2] for r in runs) / len(words)
+                out.append((found[first][1], found[last - 1][2], name, gain, cover, not differ, "; ".join(differ)))
+        return apart(out)
+
+    def document(self, text: str) -> list[tuple]:
+        """Findings of all blocks of a text."""
+        out = []
+        for s, e in blocks(text):
+            a, b = words_before(text, s, self.longest), words_after(text, e, self.longest)
+            out += [(s + f[0], s + f[1], *f[2:]) for f in self.findings(text[s:e], text[a:s], text[e:b])]
+        return apart(out)
+
+
+def words_before(text: str, at: int, n: int) -> int:
+    """Start of the ``n``-th word before ``at``."""
+    reach = 16 * n
+    while True:
+        lo = max(0, at - reach)
+        found = [m.start() for m in WORD.finditer(text, lo, at)]
+        if lo == 0 or len(found) > n:                  # the first one may be cut
+            return found[-n] if len(found) > n else 0
+        reach *= 4
+
+
+def words_after(text: str, at: int, n: int) -> int:
+    """End of the ``n``-th word after ``at``."""
+    for k, m in enumerate(WORD.finditer(text, at), 1):
+        if k == n:
+            return m.end()
+    return len(text)
+
+
+def apart(findings: list[tuple]) -> list[tuple]:
+    """Findings by start, those of one license without overlap: the exact and
+    fuller ones stay, then the longer ones."""
+    kept: dict[str, list[tuple]] = {}
+    for f in sorted(findings, key=lambda f: (-f[4], not f[5], f[0] - f[1], f[0], -f[3])):
+        rows = kept.setdefault(f[2], [])
+        if all(f[1] <= k[0] or k[1] <= f[0] for k in rows):
+            rows.append(f)
+    return sorted(f for rows in kept.values() for f in rows)
+
+
+def alignments(mine: list[str], words: list[str], distinct: set[str], places: dict[str, list[int]]) -> list[list[tuple]]:
+    """Alignments of ``words`` in ``mine`` that don't overlap, each as its
+    runs (place in mine, place in words, length)."""
+    n, out, free, at = len(words), [], [], 0
+    rarest = min(distinct, key=lambda w: (len(places[w]), w))
+    offset = words.index(rarest)
+    for p in places[rarest]:
+        s = p - offset
+        if s >= at and mine[s:s + n] == words:
+            out.append([(s, 0, n)])
+            free.append((at, s))
+            at = s + n
+    free.append((at, len(mine)))
+    for lo, hi in free:
+        for p in places[rarest]:
+            if not lo <= p < hi:
+                continue
+            for left, right in ((2 * n, 2 * n), (offset + n // 2, n - offset + n // 2)):   # the narrow one can't scatter
+                a, b = max(lo, p - left), min(hi, p + right)
+                runs = [(a + r.a, r.b, r.size) for r in
+                        difflib.SequenceMatcher(None, mine[a:b], words, autojunk=False).get_matching_blocks() if r.size]
+                first, last = (runs[0][0], runs[-1][0] + runs[-1][2]) if runs else (0, 0)
+                if (sum(r[2] for r in runs) >= LEAST_WORDS * n and last - first <= 2 * n
+                        and distinct <= set(mine[first:last])):
+                    out.append(runs)
+                    lo = last
+                    break
+    return out
+
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end, license, gain, coverage, exact, differences): one
-    row per license found in a block."""
+    row per wording found."""
     bound_batches(docs.sparkSession)
     kind, atype = arrow_id(docs, "doc_id")
     fields = pa.schema([("doc_id", atype), ("start", pa.int64()), ("end", pa.int64()), ("license", pa.string()),
@@ -155,8 +221,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def run(batches):
         templates = Templates()
         for ids, texts in pairs(batches):
-            yield rows_to_batch([(d, s + f[0], s + f[1], *f[2:]) for d, t in zip(ids, texts, strict=True)
-                                 for s, e in blocks(t) for f in templates.findings(t[s:e])], fields)
+            yield rows_to_batch([(d, *f) for d, t in zip(ids, texts, strict=True) for f in templates.document(t)], fields)
 
     return docs.select("doc_id", full_text().alias("text")).mapInArrow(
         run, f"doc_id {kind}, start bigint, end bigint, license string, gain double, coverage double, exact boolean, "

@@ -25,6 +25,18 @@ def test_exact_and_changed_wording(spark):
     assert {k for k in got if k[0] > 101} == {(103, "Proprietary"), (103, "MIT"), (104, "CC-BY-SA-4.0")}
 
 
+def test_every_wording_whatever_its_rank_or_block():
+    t = S.Templates()
+    maps = ("Licensed under the Apache License, Version 2.0. Maps drawn by the Ostrava regional office come from another source, "
+            "and their owners say: All rights reserved. Ask the editors of the handbook first.")
+    assert [(f[2], f[5]) for f in t.document(maps)] == [("Apache-2.0", True), ("Proprietary", True)]
+    twice = "Licensed under CC BY 4.0. The photographs too: licensed under CC BY 4.0."
+    assert [(f[2], f[5]) for f in t.document(twice)] == [("CC-BY-4.0", True)] * 2
+    for _, wording, _ in S.TEMPLATES:                    # a word to a line, between other lines
+        text = "one\ntwo\n" + wording.replace(" ", "\n\n") + "\nthree"
+        assert any(f[5] and f[:2] == (8, len(text) - 6 - (wording[-1] in ".")) for f in t.document(text)), wording
+
+
 def test_versions_are_told_apart():
     t = S.Templates()
     assert [f[2] for f in t.findings("This work is licensed under the GNU General Public License, version 2.")] == ["GPL-2.0"]
