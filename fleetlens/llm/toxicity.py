@@ -119,20 +119,24 @@ class KneserNey:
                 float(top[:8].sum() / 8), 1.0]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        w -= np.linalg.solve(h, x.T @ (p - y) + ridge * w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        w -= np.linalg.solve(h, x.T @ (weight * (p - y)) + ridge * w)
     return w
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, most: int) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``most`` training documents a class."""
-    marked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+def training_labels(labels: DataFrame, folds: int, held_out: int) -> DataFrame:
+    """(doc_id, toxic) of all labelled training documents."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
               .where(fold(F.col("doc_id"), folds) != held_out)
               .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
+
+
+def training_sample(docs: DataFrame, marked: DataFrame, most: int) -> DataFrame:
+    """(doc_id, text, toxic) of at most ``most`` training documents a class."""
     picked = [marked.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1)]
     chosen = picked[0].union(picked[1])                    # at most 2 * most rows
     texts = docs.select("doc_id", full_text().alias("text"))
@@ -143,7 +147,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int
           most: int = MAX_TRAIN) -> tuple[KneserNey | None, np.ndarray]:
     """The models and the calibration's weights. Bigrams are counted in Spark;
     those of the bounded sample that occur twice come to the driver."""
-    sample = training_sample(docs, labels, folds, held_out, most)
+    marked = training_labels(labels, folds, held_out)
+    # labels of the class for one in the sample
+    stands_for = {r.toxic: max(1.0, r.n / most) for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sample = training_sample(docs, marked, most)
     sample = sample.withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATION)) == 0)
     out = pa.schema([("gram", pa.string()), ("ordinary", pa.int64()), ("toxic", pa.int64())])
 
@@ -179,15 +186,18 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int
         seen = check.mapInArrow(look, kind).collect()          # numbers only, at most 2 * most rows
         y = np.array([r.toxic for r in seen], dtype=float)
         if 0 < y.sum() < len(y):
+            weight = np.where(y == 1, stands_for[1], stands_for[0])
+            weight = weight * len(y) / weight.sum()
             for i, m in enumerate(models):
                 x = np.array([r[1 + i] for r in seen])
-                w = fit_logistic(x, y)
+                w = fit_logistic(x, y, weight)
                 p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-6, 1 - 1e-6)
-                loss = float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+                loss = float(-(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean())
                 if best is None or loss < best[0]:
                     best = (loss, m, w)
     if best is None:
-        share = sample.agg(F.avg("toxic")).first()[0] or 0.0
+        each = {r.toxic: r.n * stands_for[r.toxic] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        share = each.get(1, 0.0) / max(sum(each.values()), 1.0)
         share = min(max(share, 1e-9), 1 - 1e-9)
         return None, np.array([*NOTHING[:-1], np.log(share / (1 - share))])
     return best[1], best[2]

@@ -30,6 +30,17 @@ def test_held_out_accuracy_on_inflected_words(spark):
     assert kept == {r.doc_id for r in T.score(docs, labels).collect() if not r.predicted}
 
 
+def test_decision_does_not_move_with_the_cap(spark):
+    """Texts that tell nothing: scores are near the share of toxic labels, also where both classes are sampled."""
+    r = random.Random(4)
+    docs = [(i, " ".join(r.choice(["balo", "mitu", "resa", "lomi", "tuba"]) for _ in range(30))) for i in range(4000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i, _ in docs], "doc_id bigint, toxic int")
+    got = T.score(df, labels, most=300).collect()
+    assert 0.06 < sum(x.score for x in got) / len(got) < 0.2
+    assert sum(x.predicted for x in got) < 0.02 * len(got)
+
+
 def test_labels_held_out_are_not_read(spark):
     docs, labels, truth = corpus(spark, 300)
     flipped = [(i, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, y in truth.items()]
