@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
+from . import decontaminate, exact_dedup, html_extract, license_scan, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_exact_dedup(spark, sf_dir):
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -58,5 +62,6 @@ QUERIES = {
     "op8_probminhash_near_dup": op8_probminhash_near_dup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_exact_dedup": op12_exact_dedup,
 }
-ORACLES = {"op6_vector_top_k": vector_search.ORACLE}
+ORACLES = {"op6_vector_top_k": vector_search.ORACLE, "op12_exact_dedup": exact_dedup.ORACLE}
