@@ -48,7 +48,7 @@ def frequent(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
     digest with a large share of ``rows`` among them."""
     summaries = (rows.select(F.xxhash64("digest").alias("head"), (F.spark_partition_id() % MERGE_TASKS).alias("part"))
                  .groupBy("part").agg(F.expr(f"approx_top_k_accumulate(head, {counters})").alias("summary")))
-    merged = summaries.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(summary, {counters})").alias("summary"))
+    merged = summaries.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(summary, {counters})").alias("summary"))
     items = merged.select(F.expr(f"inline(approx_top_k_estimate(summary, {counters}))"))
     return items.where("count > 1 and item is not null").select(F.col("item").alias("head"))
 
