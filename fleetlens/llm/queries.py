@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_extract, license_scan, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
+from . import decontaminate, exact_dedup, html_extract, importance, license_scan, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op12_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark, sf_dir):
+    return importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -63,5 +67,6 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES = {"op6_vector_top_k": vector_search.ORACLE, "op12_exact_dedup": exact_dedup.ORACLE}

@@ -21,6 +21,8 @@ def test_stages_take_effect_in_turn(spark):
     d = C.redact_secrets(spark, c, SF).cache()
     assert d.columns == docs.columns and d.count() == c.count()
     assert {r.doc_id for r in C.pack(spark, d, SF).collect()} == {r.doc_id for r in d.collect()}
+    for df in (a, b, c, d):
+        df.unpersist()
 
 
 def test_run_covers_the_documents(spark):
@@ -36,10 +38,11 @@ def test_stages_survive_odd_and_empty_tables(spark):
             docs = docs.cache()
             docs.count()
         C.pack(spark, docs, SF).count()
+    spark.catalog.clearCache()
 
 
 def test_entry_registers_each_operator_once():
     names = entry.queries()
-    for n in [*range(1, 11), 12]:
+    for n in [*range(1, 11), 12, 13]:
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names
