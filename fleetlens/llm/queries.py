@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_extract, importance, license_scan, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
+from . import collocations, decontaminate, exact_dedup, html_extract, importance, license_scan, lm_score, near_dup, packing, secret_scan, substring_dedup, toxicity, vector_search
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op8_probminhash_near_dup": op8_probminhash_near_dup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_importance_resampling": op13_importance_resampling,
 }
