@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +122,39 @@ def clean_audit(raw: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+AUDIT_COLUMNS = ("raw_rows", "null_rows", "duplicate_rows", "invalid_rows", "clean_rows")
+
+
+def audited_clean(df: DataFrame, table: str, audit: Observation) -> DataFrame:
+    """``clean_table`` that takes the numbers of ``clean_audit`` on the way:
+    whoever writes the result finds them in ``audit``, from the one scan and
+    the one shuffle that the cleaning needs anyway.
+
+    Rows are grouped with their number of copies, incomplete ones as one
+    group (their columns blanked, so they collapse before the shuffle). The
+    numbers are summed behind that shuffle, in the stage that writes, where
+    Spark counts each task once, however often tasks or stages run again;
+    the result must therefore be written as it is, without a further shuffle.
+    """
+    incomplete = incomplete_predicate(df)
+    groups = (df.select(*[F.when(~incomplete, F.col(c)).alias(c) for c in df.columns], incomplete.alias("_incomplete"))
+                .groupBy(*df.columns, "_incomplete").agg(F.count(F.lit(1)).alias("_copies")))
+    complete = ~F.col("_incomplete")
+    valid = complete & validity_predicate(table)
+    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("_copies"))), F.lit(0))
+    numbers = [total(F.lit(True)), total(F.col("_incomplete")),
+               F.coalesce(F.sum(F.when(complete, F.col("_copies") - 1)), F.lit(0)),
+               F.count(F.when(complete & ~valid, 1)), F.count(F.when(valid, 1))]
+    return (groups.observe(audit, *[n.cast("long").alias(c) for n, c in zip(numbers, AUDIT_COLUMNS, strict=True)])
+                  .where(valid).select(*df.columns))
+
+
+def audit_frame(spark, audits: dict[str, Observation]) -> DataFrame:
+    """The observed numbers of written tables, with the columns of ``clean_audit``."""
+    rows = [(table, *[int(seen.get[c]) for c in AUDIT_COLUMNS]) for table, seen in audits.items()]
+    return spark.createDataFrame(rows, "table_name string, " + ", ".join(f"{c} bigint" for c in AUDIT_COLUMNS))
+
+
 def fill_missing(df: DataFrame, values: dict | None = None) -> DataFrame:
     """L-9: fill NULLs column by column."""
     return df.fillna(values or NO_NOTIFICATION_FILL)

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.cleaning import clean_audit, clean_table
+from ..operators.cleaning import audit_frame, audited_clean
 from ..operators.faults import fault_rows
 from ..schemas import FEEDBACK_JOIN_KEYS, TABLES
 from ..sources import catalog, csv_files
@@ -21,9 +22,48 @@ from .features import feature_frame
 from .tables import CourierTables
 
 CLEAN_SUFFIX = "_clean"
+REJECTS_SUFFIX = "_rejects"
 FACT_TABLES = ("courier_report", "courier_feedback")
 
 
+def _load(df: DataFrame, database: str, table: str, mode: str) -> None:
+    if mode == "append" and catalog.table_exists(df.sparkSession, database, table):
+        catalog.append_table(df, database, table)
+    else:
+        catalog.write_table(df, database, table, mode="overwrite")
+
+
+def checked_ingest_job(spark: SparkSession, database: str, paths: dict[str, list[str] | str],
+                       mode: str = "overwrite", delimiter: str = ",") -> DataFrame:
+    """``ingest_job`` that loses no line: what is no row goes to
+    ``{table}_rejects`` with its file, text, reason and columns. Returns
+    (table_name, lines, loaded_rows, rejected_rows).
+
+    The rows are written in one scan, which also observes the counts and the
+    files that hold rejects (the driver lists the input files anyway); only
+    those files are read again for the rejects.
+    """
+    catalog.create_database(spark, database)
+    counts = []
+    for table, files in paths.items():
+        parsed = csv_files.parsed_lines(spark, table, files, delimiter)
+        seen, reason = Observation(f"ingest {table}"), F.col("reason")
+        bad = reason.isNotNull() & (reason != csv_files.HEADER)
+        watched = parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(reason.isNull()).alias("rows"),
+                                 F.count_if(reason == csv_files.HEADER).alias("headers"),
+                                 F.collect_set(F.when(bad, F.col("source_file"))).alias("files"))
+        _load(csv_files.accepted(watched, table), database, table, mode)
+        got = seen.get
+        inputs = parsed.inputFiles()
+        again = inputs if got["headers"] > len(inputs) else list(got["files"])      # a repeated header may be in any file
+        rejects = (csv_files.rejected(csv_files.parsed_lines(spark, table, again, delimiter), table) if again
+                   else csv_files.rejected(parsed, table).limit(0))
+        _load(rejects, database, table + REJECTS_SUFFIX, mode)
+        counts.append((table, got["lines"] - min(got["headers"], len(inputs)), got["rows"]))
+    return (spark.createDataFrame(counts, "table_name string, lines bigint, loaded_rows bigint")
+            .withColumn("rejected_rows", F.col("lines") - F.col("loaded_rows")))
+
+
 def ingest_job(spark: SparkSession, database: str, paths: dict[str, list[str] | str],
                mode: str = "overwrite") -> None:
     """Load delimited raw files into ``{database}.{table}`` (one scan per table,
@@ -31,15 +71,13 @@ def ingest_job(spark: SparkSession, database: str, paths: dict[str, list[str] |
     catalog.create_database(spark, database)
     for table, files in paths.items():
         df = csv_files.read_table(spark, table, files)
-        if mode == "append" and catalog.table_exists(spark, database, table):
-            catalog.append_table(df, database, table)
-        else:
-            catalog.write_table(df, database, table, mode="overwrite")
+        _load(df, database, table, mode)
 
 
 def clean_job(tables: CourierTables, database: str, fact_buckets: int | None = None) -> DataFrame:
     """Write ``{table}_clean`` for the four tables, always from the raw ones
-    (so it can be run again); returns the clean audit.
+    (so it can be run again); returns the clean audit, whose numbers are
+    taken while the tables are written (one scan of each raw table).
 
     With ``fact_buckets``, the two fact tables are written bucketed and
     sorted on the 7-column order key of the report ⟕ feedback join, so that
@@ -47,10 +85,12 @@ def clean_job(tables: CourierTables, database: str, fact_buckets: int | None = N
     buckets hash the whole key, so one busy courier or shop does not fill a
     bucket.
     """
+    audits = {}
     for t in TABLES:
         bucket = (fact_buckets, FEEDBACK_JOIN_KEYS) if fact_buckets and t in FACT_TABLES else None
-        catalog.write_table(clean_table(tables.raw(t), t), database, t + CLEAN_SUFFIX, bucket_by=bucket)
-    return clean_audit({t: tables.raw(t) for t in TABLES})
+        audits[t] = Observation(f"clean {t}")
+        catalog.write_table(audited_clean(tables.raw(t), t, audits[t]), database, t + CLEAN_SUFFIX, bucket_by=bucket)
+    return audit_frame(tables.spark, audits)
 
 
 def result_tables(tables: CourierTables, min_count: int = A.BUSY_HOUR_MIN_COUNT,
@@ -61,7 +101,7 @@ def result_tables(tables: CourierTables, min_count: int = A.BUSY_HOUR_MIN_COUNT,
     return {
         "avg_response_time": lambda: A.avg_response_time(t.feedback),
         "courier_response_counts": lambda: A.courier_response_counts(t.feedback),
-        "courier_final": lambda: A.courier_final(t.report, t.feedback, quantile_mode=quantile_mode),
+        "courier_final": lambda: A.courier_final(t.report, t.feedback, quantile_mode=quantile_mode, materialize_per_courier=True),
         "average_delivery_time": lambda: A.average_delivery_time(t.report),
         "top_busy_hours_per_city": lambda: A.top_busy_hours_per_city(t.report, min_count),
         "courier_phone_mode_counts": lambda: A.courier_phone_mode_counts(t.couriers),
