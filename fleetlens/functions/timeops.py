@@ -1,8 +1,9 @@
 """Time-of-day column expressions (P-1 .. P-7).
 
 Times are stored as separate hour / minute / second integers. Everything
-here is plain column arithmetic, so it stays inside whole-stage codegen; no
-time strings are parsed (parsing "24:00:00" raises under ANSI mode).
+here is column arithmetic, so it stays inside whole-stage codegen. Time
+text from other sources goes through ``parse_clock``, which gives NULL where
+plain parsing would raise under ANSI mode ("24:00:00").
 
 Three different overnight rules exist and are kept apart on purpose:
 
@@ -45,7 +46,11 @@ def seconds_of_day(prefix: str, validate: bool = False) -> Column:
 def duration_seconds(start: str, end: str, wrap: str = "none",
                      validate: bool = True) -> Column:
     """Seconds from stage ``start`` to stage ``end`` (P-4, P-5)."""
-    diff = seconds_of_day(end, validate) - seconds_of_day(start, validate)
+    return wrapped(seconds_of_day(end, validate) - seconds_of_day(start, validate), wrap)
+
+
+def wrapped(diff: Column, wrap: str) -> Column:
+    """A difference in seconds under one of the overnight rules."""
     if wrap == "none":
         return diff
     if wrap == "midnight":
@@ -65,6 +70,21 @@ def time_text(prefix: str) -> Column:
     return F.when(in_clock_range(prefix), F.concat_ws(":", *parts))
 
 
+def parse_clock(text: Column) -> Column:
+    """Seconds of day of ``HH:mm:ss`` text (P-4). What is no time of day in
+    exactly that form ("24:00:00", "7:05:00", "07:05", blanks, other text) is
+    NULL; nothing raises under ANSI mode."""
+    # a fixed day without a clock change anywhere; the fields are read back in
+    # the time zone that they were parsed in, so the zone doesn't matter
+    t = F.try_to_timestamp(F.concat(F.lit("2001-01-03 "), text), F.lit("yyyy-MM-dd HH:mm:ss"))
+    return F.when(text.rlike("^[0-9]{2}:[0-9]{2}:[0-9]{2}$"), F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)).cast("long")
+
+
+def text_duration_seconds(start: Column, end: Column, wrap: str = "none") -> Column:
+    """Seconds between two ``HH:mm:ss`` texts (P-4, P-5), by the rules of ``duration_seconds``."""
+    return wrapped(parse_clock(end) - parse_clock(start), wrap)
+
+
 def minutes_of_day(prefix: str) -> Column:
     """h*60 + m as int (P-2)."""
     return (F.col(f"{prefix}_hour") * 60 + F.col(f"{prefix}_minute")).cast("int")

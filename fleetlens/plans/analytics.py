@@ -151,8 +151,12 @@ def courier_final(report: DataFrame, feedback: DataFrame, quantile_mode: str = "
     orders = count_by(labelled_feedback(feedback), "courier_id", "order_count")
     per_courier = orders.join(courier_avg_work_duration(report), "courier_id")   # J-4
     stored = quantile_mode == "exact" or materialize_per_courier
-    if stored:
-        per_courier = materialize(per_courier)
+    return scored_couriers(materialize(per_courier) if stored else per_courier, quantile_mode, accuracy, stored)
+
+
+def scored_couriers(per_courier: DataFrame, quantile_mode: str = "approx", accuracy: int = 1000, stored: bool = True) -> DataFrame:
+    """The scores of N-9 for a frame of (courier_id, order_count,
+    avg_work_duration_seconds), which is ``stored`` or read several times."""
     work, cnt = "avg_work_duration_seconds", "order_count"
     bounds = quantile_bounds(per_courier, [work, cnt], SCORE_QUANTILES, quantile_mode, accuracy)
     if stored:

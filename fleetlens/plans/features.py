@@ -9,7 +9,7 @@ each stage time into minutes of day with the evening wrap. Variant B
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeops import stage_minutes_columns
@@ -74,6 +74,38 @@ def hash_split_column(cols, train_percent: int = 80, seed: int = 42) -> Column:
     return F.when(F.substring(F.md5(text), 1, 8) < bound, F.lit("train")).otherwise(F.lit("test"))
 
 
+def exact_split(df: DataFrame, strata, train_percent: int = 80, seed: int = 42) -> DataFrame:
+    """``df`` with ``split``: of each stratum's n rows exactly
+    ``ceil(n * train_percent / 100)`` are "train" (M-6).
+
+    Rows are ordered by the md5 of their text, so the split follows from the
+    rows alone. A stratum is never sorted whole: rows are counted by the first
+    four hex digits, running counts over these at most 65,536 numbers find the
+    digits at which the share is reached, and only the rows with those digits
+    are ranked. Rows with smaller digits are train, with larger ones test.
+    """
+    strata = [strata] if isinstance(strata, str) else list(strata)
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    rows = df.withColumn("_hash", F.md5(text)).withColumn("_head", F.substring("_hash", 1, 4))
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_s{i}") for i, c in enumerate(strata)]
+    keys += [F.col(c).isNull().alias(f"_z{i}") for i, c in enumerate(strata)]
+    names = [f"_{k}{i}" for k in "sz" for i in range(len(strata))]
+    rows = rows.select("*", *keys)
+    counts = rows.groupBy(*names, "_head").agg(F.count(F.lit(1)).alias("_n"))
+    stratum = Window.partitionBy(*names)
+    upto = F.sum("_n").over(stratum.orderBy("_head").rowsBetween(Window.unboundedPreceding, 0))
+    share = F.ceil(F.sum("_n").over(stratum) * train_percent / F.lit(100))
+    cuts = (counts.select(*names, F.col("_head").alias("_cut"), (upto - F.col("_n")).alias("_before"), upto.alias("_upto"), share.alias("_share"))
+            .where((F.col("_before") < F.col("_share")) & (F.col("_share") <= F.col("_upto")))
+            .select(*names, "_cut", (F.col("_share") - F.col("_before")).alias("_take")))
+    placed = rows.join(cuts, names, "left")
+    at = F.col("_head") == F.col("_cut")
+    side = placed.where(~F.coalesce(at, F.lit(False))).withColumn("split", F.when(F.col("_head") < F.col("_cut"), "train").otherwise("test"))
+    order = Window.partitionBy(*names).orderBy("_hash")
+    ranked = placed.where(at).withColumn("split", F.when(F.row_number().over(order) <= F.col("_take"), "train").otherwise("test"))
+    return side.select(*df.columns, "split").union(ranked.select(*df.columns, "split"))
+
+
 def split(df: DataFrame, method: str = "hash", train_fraction: float = 0.8, seed: int = 42):
     """Return (train, test). ``method="random"`` is ``randomSplit`` (what the
     source job does); ``"hash"`` is stable under recomputation."""
