@@ -5,16 +5,19 @@ language, by how much more often they occur than their two parts would let
 expect. Counting phrases as text would shuffle every phrase of the corpus;
 here only candidates are counted, where the text is:
 
-1. Words are counted per language (each task sums its own first). Words have
-   64-bit hashes as symbols; two words of a language that share one are
-   looked for among all words, and another salt is taken until there is none.
+1. Words are counted per language (each block of text sums its own first).
+   Words have 64-bit hashes as symbols; words are compared byte by byte
+   with the one that their symbol stands for, and another salt is taken if
+   two words of a language share a symbol.
 2. The text becomes arrays of symbols, 0 between pieces and for words that
    are too rare to be in any candidate. Frequent words are known from a
    bitmap of bounded size, which may let rare ones pass, never the reverse.
 3. Apriori-safe candidates: sums of hashed word pairs bound the pairs' counts
    from above; pairs below the threshold are out, and so is every triple that
    holds one (a second bitmap); the other triples are bounded likewise. What
-   passes is a superset of all frequent phrases, whatever the hashes do.
+   passes is a superset of all frequent phrases, whatever the hashes do. The
+   sums are made of sorted arrays of short hashes. Of the tasks that hold a
+   candidate one is picked to name its words.
 4. Candidates become double-array tries of at most ``TRIE_PHRASES`` phrases,
    built in tasks. A path is the language, then the words, each symbol three
    digits of eight bits. At most ``TRIES_AT_ONCE`` tries are broadcast in a
@@ -32,16 +35,16 @@ time; an empty table gives no rows; other columns of any name are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, full_text, pairs, stored
+from .common import bound_batches, full_text, stored
 
 # Fixed by the task.
 LEAST = 10
@@ -51,72 +54,153 @@ SCALE = 1_000_000
 # Lower-cases A-Z; piece ends become a full stop, tabs a blank. No word holds either.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 TEXT_BYTES = bytes(c + 32 if 65 <= c <= 90 else 46 if c in ENDS else 32 if c == 9 else c for c in range(256))
+# Of translated bytes: 0 in a word, 1 a blank, 2 the end of a piece.
+KINDS = np.array([2 if c == 46 else 1 if c == 32 else 0 for c in range(256)], dtype=np.uint8)
+LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)     # the low k bytes
 
-BLOCK = 1 << 22            # bytes of a text that are split at once
-FLUSH_WORDS = 300_000       # distinct words a task holds before it passes their counts on
-MEMO_WORDS = 1_000_000      # hashes of words that a task remembers
+BLOCK = 1 << 22             # bytes of text that are split at once
 CHUNK = 1 << 20             # symbols in a row of the symbol table
 KEYS = 6 << 20              # hashed phrases that a task sorts at once
 BITMAP_BITS = 1 << 27       # 16 MB at most
 TRIE_PHRASES = 250_000
 TRIES_AT_ONCE = 4
 MOST_PASSES = 16
+TRIE_PART = 1 << 15         # phrases whose counts are summed together
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def word_lists(text: str):
-    """Lower-cased words, ``b"."`` at each end of a piece, in lists of about ``BLOCK`` bytes."""
-    data, at = text.encode().translate(TEXT_BYTES), 0
+def spread(x: np.ndarray) -> np.ndarray:
+    """Bijective scrambling of 64-bit integers."""
+    x = (x ^ (x >> np.uint64(29))) * MIX[0]
+    x = (x ^ (x >> np.uint64(32))) * MIX[1]
+    return x ^ (x >> np.uint64(29))
+
+
+class Words:
+    """The words of a block of text: where each starts and how long it is,
+    whether a piece or document ends before it, the document it is in, and its
+    symbol. Words are read as 8-byte windows, all of them together."""
+
+    def __init__(self, data: np.ndarray, heads: np.ndarray, ended: bool, salt: int):
+        """``data``: translated bytes; ``heads``: where documents start; ``ended``: a piece ends just before."""
+        n = len(data)
+        kind = KINDS[data]
+        head = np.zeros(n + 1, dtype=bool)
+        head[heads] = True
+        word = np.append(kind == 0, False)
+        before = np.concatenate([[False], word[:-1]])
+        self.data = data
+        self.starts = np.flatnonzero(word & (~before | head))
+        self.sizes = np.flatnonzero(before & (~word | head)) - self.starts
+        ends = np.cumsum((kind == 2) | head[:n], dtype=np.int32)
+        at = ends[self.starts]
+        self.new = np.empty(len(at), dtype=bool)
+        if len(at):
+            self.new[0] = ended or at[0] > 0
+            np.not_equal(at[1:], at[:-1], out=self.new[1:])
+            self.ended = bool(ends[-1] != at[-1])
+        else:
+            self.ended = ended or bool(n and ends[-1])
+        padded = np.concatenate([data, np.zeros(8, np.uint8)]).tobytes()
+        self.window = np.ndarray(shape=(n + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        self.symbols = self._hash(salt)
+
+    def _part(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Bytes 8k to 8k+7 of the words ``at`` (zeros behind their ends)."""
+        return self.window[self.starts[at] + 8 * k] & LOW[np.minimum(self.sizes[at] - 8 * k, 8)]
+
+    def _hash(self, salt: int) -> np.ndarray:
+        h = spread(self.sizes.astype(np.uint64) * MIX[2] + np.uint64(salt))
+        at, k = np.arange(len(h)), 0
+        while len(at):
+            h[at] = spread(h[at] ^ self._part(at, k))
+            k += 1
+            at = at[self.sizes[at] > 8 * k]
+        return np.maximum(h, np.uint64(1))                  # 0 parts pieces
+
+    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether words ``a[i]`` and ``b[i]`` are the same bytes."""
+        same = self.sizes[a] == self.sizes[b]
+        at, k = np.flatnonzero(same), 0
+        while len(at):
+            same[at] = ok = self._part(a[at], k) == self._part(b[at], k)
+            k += 1
+            at = at[ok]
+            at = at[self.sizes[a[at]] > 8 * k]
+        return same
+
+    def texts(self, at: np.ndarray) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(self.sizes[at])])
+        places = np.repeat(self.starts[at] - ends[:-1], self.sizes[at]) + np.arange(ends[-1])
+        return pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(self.data[places].tobytes())])
+
+
+def word_blocks(texts: pa.Array, salt: int):
+    """(``Words``, document of each word) of a batch of texts, in blocks that end between words."""
+    texts = texts.cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    if raw is None or not len(texts):
+        return
+    data = np.frombuffer(raw.to_pybytes()[ends[0]:ends[-1]].translate(TEXT_BYTES), dtype=np.uint8)
+    heads = ends[:-1] - ends[0]
+    at, ended = 0, True
     while at < len(data):
-        end = data.find(b" ", at + BLOCK)
-        end = len(data) if end < 0 else end
-        yield data[at:end].replace(b".", b" . ").split()
-        at = end
-
-
-def symbol(word: bytes, salt: str) -> int:
-    """The hash that Spark's ``xxhash64`` gives; never 0, which separates pieces."""
-    return xxhash.xxh64_intdigest(salt.encode() + word, seed=42) or 1
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n) of all words."""
-    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
-
-    def rows(counts):
-        for lang, c in counts.items():
-            c.pop(b".", None)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.binary()).cast(pa.string()),
-                                              pa.array(list(c.values()), pa.int64())], schema=schema)
+        end = min(at + BLOCK, len(data))
+        while end < len(data) and KINDS[data[end]] == 0:            # on to the end of the word
+            more = np.flatnonzero(KINDS[data[end:end + BLOCK]])
+            end = end + int(more[0]) if len(more) else min(end + BLOCK, len(data))
+        found = Words(data[at:end], heads[np.searchsorted(heads, at):np.searchsorted(heads, end)] - at, ended, salt)
+        yield found, np.searchsorted(heads, found.starts + at, side="right") - 1
+        at, ended = end, found.ended
+
+
+def of_langs(langs: pa.Array, docs: np.ndarray):
+    """(lang, places of its words) for the languages of a block."""
+    coded = langs.dictionary_encode()
+    if len(coded.dictionary) == 1:
+        yield coded.dictionary[0].as_py(), np.arange(len(docs))
+        return
+    code = coded.indices.to_numpy()[docs]
+    for c in np.unique(code):
+        yield coded.dictionary[int(c)].as_py(), np.flatnonzero(code == c)
+
+
+def word_counts(docs: DataFrame, salt: int) -> DataFrame:
+    """(lang, word, h, n): all words, their symbols and counts. Every word is
+    compared with the one that stands for its symbol in its block; words that
+    only share a symbol are counted apart."""
+    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("h", pa.int64()), ("n", pa.int64())])
+
+    def rows(found, lang, at):
+        h = found.symbols[at]
+        order = np.argsort(h)
+        new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+        first = at[order[new]]
+        group = np.cumsum(new) - 1
+        same = found.equal(at[order], first[group])
+        yield (lang, first, np.bincount(group[same], minlength=len(first)))
+        if not same.all():
+            yield (lang, at[order[~same]], np.ones(int((~same).sum()), np.int64))
 
     def run(batches):
-        counts: dict[str, Counter] = {}
-        for langs, texts in pairs(batches):
-            for lang, text in zip(langs, texts, strict=True):
-                for found in word_lists(text):
-                    counts.setdefault(lang, Counter()).update(found)
-                if sum(map(len, counts.values())) > FLUSH_WORDS:
-                    yield from rows(counts)
-                    counts = {}
-        yield from rows(counts)
-
-    found = docs.mapInArrow(run, "lang string, word string, n bigint")
-    return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-
-
-def hashed(salt: str) -> Column:
-    """The symbol of column ``word``, as ``symbol`` computes it."""
-    h = F.xxhash64(F.concat(F.lit(salt), F.col("word")))
-    return F.when(h == 0, F.lit(1)).otherwise(h)
-
-
-def free_of_collisions(counts: DataFrame) -> str:
-    """A salt under which no two words of a language have the same symbol."""
-    for k in range(64):
-        salt = f"{k}\t" if k else ""
-        twice = counts.groupBy("lang", hashed(salt).alias("h")).agg(F.count(F.lit(1)).alias("words")).where("words > 1")
-        if twice.isEmpty():
-            return salt
+        for b in batches:
+            for found, of in word_blocks(b.column(1), salt):
+                for lang, at in of_langs(b.column(0), of):
+                    for lang, words, n in rows(found, lang, at):
+                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), found.texts(words),
+                                                          pa.array(found.symbols[words].view(np.int64)), pa.array(n.astype(np.int64))], schema=schema)
+
+    return (docs.mapInArrow(run, "lang string, word string, h bigint, n bigint")
+            .groupBy("lang", "h", "word").agg(F.sum("n").alias("n")))
+
+
+def counted_words(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``word_counts`` under a salt by which no two words of a language share a symbol, and the salt."""
+    for salt in range(64):
+        counts = stored(word_counts(docs, salt))
+        if counts.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("words")).where("words > 1").isEmpty():
+            return counts, salt
     raise RuntimeError("no salt keeps the words apart")
 
 
@@ -138,57 +222,49 @@ def known(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def symbol_arrays(docs: DataFrame, frequent, salt: str) -> DataFrame:
-    """(lang, symbols): 64-bit symbols, 0 between pieces and documents and for
-    runs of rare words. A row starts phrases at its first ``CHUNK`` symbols;
-    two more follow to end them."""
-    schema = pa.schema([("lang", pa.string()), ("symbols", pa.binary())])
+def symbol_arrays(docs: DataFrame, frequent, salt: int) -> DataFrame:
+    """(lang, source, symbols): 64-bit symbols (compressed), 0 between pieces
+    and documents and for runs of rare words; ``source`` numbers the task that
+    made the row. A row starts phrases at its first ``CHUNK`` symbols; two
+    more follow to end them."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.int64()), ("symbols", pa.binary())])
 
-    class Memo(dict):
-        def __missing__(self, word):
-            if len(self) > MEMO_WORDS:
-                self.clear()
-                self[b"."] = 0
-            self[word] = h = symbol(word, salt)
-            return h
-
-    def rows(lang, parts, bits):
-        h = np.concatenate(parts)
-        h[~known(bits, h)] = 0
+    def rows(lang, parts):
+        h = np.concatenate([*parts, np.zeros(1, np.uint64)])
         h = h[(h != 0) | np.concatenate([[True], h[:-1] != 0])]
         for i in range(0, len(h), CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([h[i:i + CHUNK + 2].tobytes()], pa.binary())], schema=schema)
+            data = pa.Codec("zstd", compression_level=1).compress(h[i:i + CHUNK + 2].tobytes(), asbytes=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([TaskContext.get().partitionId()], pa.int64()),
+                                              pa.array([len(h[i:i + CHUNK + 2]).to_bytes(8, "little") + data], pa.binary())], schema=schema)
 
     def run(batches):
-        bits, memo = frequent.value, Memo({b".": 0})
-        held: dict[str, list] = {}
-        for langs, texts in pairs(batches):
-            for lang, text in zip(langs, texts, strict=True):
-                parts = held.setdefault(lang, [])
-                for found in word_lists(text):
-                    parts.append(np.fromiter(map(memo.__getitem__, found), np.uint64, len(found)))
-                parts.append(np.zeros(1, np.uint64))
-                if sum(sum(map(len, x)) for x in held.values()) >= CHUNK:
-                    for x, y in held.items():
-                        yield from rows(x, y, bits)
-                    held = {}
-        for x, y in held.items():
-            yield from rows(x, y, bits)
-
-    return docs.mapInArrow(run, "lang string, symbols binary")
+        bits, held, size = frequent.value, {}, 0
+        for b in batches:
+            for found, of in word_blocks(b.column(1), salt):
+                for lang, at in of_langs(b.column(0), of):
+                    new = found.new[at]         # also where words of other languages lie between
+                    h = np.zeros(len(at) + int(new.sum()), np.uint64)
+                    own = found.symbols[at]
+                    h[np.arange(len(at)) + np.cumsum(new)] = np.where(known(bits, own), own, np.uint64(0))
+                    held.setdefault(lang, []).append(h)
+                    size += len(h)
+            if size >= CHUNK:
+                for lang, parts in held.items():
+                    yield from rows(lang, parts)
+                held, size = {}, 0
+        for lang, parts in held.items():
+            yield from rows(lang, parts)
+
+    return docs.mapInArrow(run, "lang string, source bigint, symbols binary")
 
 
 def arrays(batches):
-    """(lang, symbols with two zeros behind them, number of places that start a phrase) of each row."""
-    for langs, data in pairs(batches):
-        for lang, x in zip(langs, data, strict=True):
-            h = np.frombuffer(x, dtype=np.uint64)
-            yield lang, np.concatenate([h, np.zeros(2, np.uint64)]), min(len(h), CHUNK)
-
-
-def spread(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(29))) * MIX[0]
-    return x ^ (x >> np.uint64(32))
+    """(lang, source, symbols with two zeros behind them, number of places that start a phrase) of each row."""
+    for b in batches:
+        for lang, source, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            n = int.from_bytes(x[:8], "little")
+            h = np.frombuffer(pa.Codec("zstd").decompress(x[8:], 8 * n), dtype=np.uint64)
+            yield lang, source, np.concatenate([h, np.zeros(2, np.uint64)]), min(n, CHUNK)
 
 
 def pair_keys(lang: np.uint64, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -200,10 +276,10 @@ def triple_keys(pair: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def lang_key(lang: str) -> np.uint64:
-    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
-def phrase_keys(lang: str, h: np.ndarray, n: int, pairs_bits=None):
+def phrase_keys(lang: str, h: np.ndarray, n: int, parts: int, pairs_bits=None):
     """(places, pair keys, triple keys or None) of the places that start a
     phrase; with a bitmap only known pairs, and triples of two known pairs."""
     a, b, c = h[:n], h[1:n + 1], h[2:n + 2]
@@ -211,63 +287,126 @@ def phrase_keys(lang: str, h: np.ndarray, n: int, pairs_bits=None):
     first = pair_keys(lang_key(lang), a[at], b[at])
     if pairs_bits is None:
         return at, first, None
-    ok = known(pairs_bits, first)
+    ok = known(pairs_bits, folded(first, parts))
     at, first = at[ok], first[ok]
-    second = pair_keys(lang_key(lang), b[at], c[at])
-    return at, first, np.where((c[at] != 0) & known(pairs_bits, second), triple_keys(first, c[at]), np.uint64(0))
+    second = folded(pair_keys(lang_key(lang), b[at], c[at]), parts)
+    return at, first, np.where((c[at] != 0) & known(pairs_bits, second), np.maximum(triple_keys(first, c[at]), np.uint64(1)), np.uint64(0))
+
+
+SUMS = pa.schema([("part", pa.int32()), ("source", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+PACKED = "part int, source bigint, keys binary, n binary"
 
 
-def bounded(symbols: DataFrame, pairs_bits=None) -> DataFrame:
-    """(key): hashed pairs, or with the pairs' bitmap triples, whose places add
-    up to ``LEAST`` or more."""
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+def packed(part: np.ndarray, source: int, keys: np.ndarray, n: np.ndarray):
+    """A row for each run of equal ``part``, which is sorted."""
+    if len(part):
+        cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        yield pa.RecordBatch.from_arrays([
+            pa.array(part[cuts[:-1]], pa.int32()), pa.array([source] * len(spans), pa.int64()),
+            pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([n[a:b].tobytes() for a, b in spans], pa.binary())], schema=SUMS)
 
-    def rows(held):
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], schema=schema)
+
+def summed(rows: DataFrame, parts: int, key_type, n_type) -> DataFrame:
+    """(part, key, n, source) of the keys whose counts add up to ``LEAST`` or
+    more, with one source that has the key. Tasks send arrays of their keys, a
+    row for each share of the keys, and the arrays of a share are merged: no
+    row per key is shuffled."""
+    schema = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("source", pa.int64())])
+
+    def run(batches):
+        held: dict[int, list] = {}
+        for b in batches:
+            for part, source, keys, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                held.setdefault(part, []).append((source, np.frombuffer(keys, key_type), np.frombuffer(n, n_type)))
+        while held:
+            part, own = held.popitem()
+            keys, n = (np.concatenate([x[i] for x in own]) for i in (1, 2))
+            source = np.repeat(np.array([x[0] for x in own], dtype=np.int64), [len(x[1]) for x in own])
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            total = np.add.reduceat(n[order].astype(np.int64), first)
+            first, total = first[total >= LEAST], total[total >= LEAST]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), part), pa.int32()), pa.array(keys[first].astype(np.int64)),
+                                              pa.array(total), pa.array(source[order[first]])], schema=schema)
+
+    return rows.repartition(max(1, parts // 4), "part").mapInArrow(run, "part int, key bigint, n bigint, source bigint")
+
+
+def shares(words: int) -> int:
+    """Into how many shares hashed phrases are dealt: a power of two, for about a million words a share."""
+    return 1 << max(4, (words >> 20).bit_length())
+
+
+def folded(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The first bits of the keys: the share's number, then 32 more. So wide
+    are the keys that are summed; they widen with the corpus."""
+    return keys >> np.uint64(64 - 32 - (parts.bit_length() - 1))
+
+
+def owned(keys: np.ndarray, source) -> np.ndarray:
+    """Hash of keys in a source."""
+    return spread(keys * MIX[2] + np.asarray(source, dtype=np.uint64))
+
+
+def bounded(symbols: DataFrame, parts: int, pairs_bits=None) -> DataFrame:
+    """(key, own): folded pairs, or with the pairs' bitmap triples, whose places
+    add up to ``LEAST`` or more; ``own`` hashes the key with one of its sources."""
+    def rows(held, source):
+        keys, n = np.unique(folded(np.concatenate(held), parts), return_counts=True)
+        # a sum that reaches LEAST needs no more than LEAST from any task
+        return packed((keys >> np.uint64(32)).astype(np.int32), source, keys.astype(np.uint32), np.minimum(n, LEAST).astype(np.uint8))
 
     def run(batches):
-        held, size = [], 0
-        for lang, h, n in arrays(batches):
-            _, first, triples = phrase_keys(lang, h, n, pairs_bits and pairs_bits.value)
+        held, size = {}, 0
+        for lang, source, h, n in arrays(batches):
+            _, first, triples = phrase_keys(lang, h, n, parts, pairs_bits and pairs_bits.value)
             keys = first if triples is None else triples[triples != 0]
-            held.append(keys)
+            held.setdefault(source, []).append(keys)
             size += len(keys)
             if size > KEYS:
-                yield from rows(held)
-                held, size = [], 0
-        if held:
-            yield from rows(held)
+                for x, y in held.items():
+                    yield from rows(y, x)
+                held, size = {}, 0
+        for x, y in held.items():
+            yield from rows(y, x)
+
+    def own(batches):
+        for b in batches:
+            part, key, source = (b.column(i).to_numpy() for i in (0, 1, 3))
+            key = (part.astype(np.uint64) << np.uint64(32)) | key.astype(np.uint64)
+            mine = owned(key, source.astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(mine.view(np.int64))], names=["key", "own"])
 
-    sums = symbols.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    return stored(sums.where(F.col("n") >= LEAST).select("key"))
+    return stored(summed(symbols.mapInArrow(run, PACKED), parts, np.uint32, np.uint8).mapInArrow(own, "key bigint, own bigint"))
 
 
-def candidates(symbols: DataFrame, pair_sums: DataFrame, triple_sums: DataFrame, pairs_bits, triples_bits) -> DataFrame:
-    """(lang, a, b, c): the distinct phrases whose hashed sums reach ``LEAST``; c is 0 in pairs."""
-    schema = pa.schema([("lang", pa.string()), ("key", pa.int64()), *((x, pa.int64()) for x in "abc")])
+def candidates(symbols: DataFrame, parts: int, pairs_bits, pairs_own, triples_bits, triples_own) -> DataFrame:
+    """(lang, a, b, c): the distinct phrases whose folded sums reach ``LEAST``;
+    c is 0 in pairs. Each source emits those that it owns."""
+    schema = pa.schema([("lang", pa.string()), *((x, pa.int64()) for x in "abc")])
 
     def rows(lang, held):
         f = pd.concat(held).drop_duplicates()
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(f), pa.string()), *(pa.array(f[x].to_numpy()) for x in ("key", "a", "b", "c"))],
-                                         schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(f), pa.string()), *(pa.array(f[x].to_numpy()) for x in "abc")], schema=schema)
 
     def run(batches):
         held: dict[str, list] = {}
-        for lang, h, n in arrays(batches):
-            at, first, triples = phrase_keys(lang, h, n, pairs_bits.value)
-            three = (triples != 0) & known(triples_bits.value, triples)
-            frame = lambda key, at, c: pd.DataFrame({"key": key.view(np.int64), "a": h[at].view(np.int64), "b": h[at + 1].view(np.int64), "c": c})
+        for lang, source, h, n in arrays(batches):
+            at, first, triples = phrase_keys(lang, h, n, parts, pairs_bits.value)
+            two = known(pairs_own.value, owned(folded(first, parts), source))
+            own = folded(triples, parts)
+            three = (triples != 0) & known(triples_bits.value, own) & known(triples_own.value, owned(own, source))
+            frame = lambda at, c: pd.DataFrame({"a": h[at].view(np.int64), "b": h[at + 1].view(np.int64), "c": c})
             held.setdefault(lang, []).append(pd.concat([
-                frame(first, at, 0), frame(triples[three], at[three], h[at[three] + 2].view(np.int64))]).drop_duplicates())
+                frame(at[two], 0), frame(at[three], h[at[three] + 2].view(np.int64))]).drop_duplicates())
             if sum(map(len, held[lang])) > KEYS // 4:
                 yield from rows(lang, held.pop(lang))
         for lang, x in held.items():
             yield from rows(lang, x)
 
-    found = symbols.mapInArrow(run, "lang string, key bigint, a bigint, b bigint, c bigint").distinct()
-    sums = pair_sums.withColumn("three", F.lit(False)).union(triple_sums.withColumn("three", F.lit(True)))
-    return found.withColumn("three", F.col("c") != 0).join(sums, ["key", "three"], "left_semi").select("lang", "a", "b", "c")
+    return symbols.mapInArrow(run, "lang string, a bigint, b bigint, c bigint").distinct()
 
 
 # ------------------------------------------------------------------ tries
@@ -356,14 +495,32 @@ def tries(found: DataFrame, number: int) -> DataFrame:
     return dealt.groupBy("trie").applyInPandas(run, "trie int, langs array<string>, " + ", ".join(f"{k} binary" for k in NUMBERS))
 
 
+def look_up(trie: dict, h: np.ndarray) -> np.ndarray:
+    """The symbols' numbers in the trie, -1 for others: by a table that their
+    low bits index; where two of the trie's symbols meet there, by search."""
+    vocab = trie["vocab"]
+    if "table" not in trie:
+        size = 1 << (8 * len(vocab)).bit_length()
+        at = (vocab & np.uint64(size - 1)).astype(np.int64)
+        table = np.full(size, -1, dtype=np.int32)
+        table[at] = np.arange(len(vocab), dtype=np.int32)
+        table[at[table[at] != np.arange(len(vocab))]] = -2
+        trie["table"] = table
+    table = trie["table"]
+    ids = table[(h & np.uint64(len(table) - 1)).astype(np.int64)]
+    meet = np.flatnonzero(ids == -2)
+    ids[meet] = np.minimum(np.searchsorted(vocab, h[meet]), len(vocab) - 1)
+    ids[(ids >= 0) & (vocab[np.maximum(ids, 0)] != h)] = -1
+    return ids
+
+
 def advance(trie: dict, lang: str, h: np.ndarray, n: int) -> np.ndarray:
     """The states that the first ``n`` places of ``h`` reach after two and
     three words: all places go on together, a digit a step."""
     base, check, vocab = trie["base"], trie["check"], trie["vocab"]
     if lang not in trie["langs"]:
         return np.zeros(0, dtype=np.int64)
-    ids = np.searchsorted(vocab, h)
-    ids[vocab[np.minimum(ids, len(vocab) - 1)] != h] = -1
+    ids = look_up(trie, h)
     number, state = trie["langs"].index(lang), 0
     for shift in (16, 8, 0):
         state = int(base[state]) + (number >> shift & 255)
@@ -386,7 +543,6 @@ def advance(trie: dict, lang: str, h: np.ndarray, n: int) -> np.ndarray:
 def trie_counts(symbols: DataFrame, found: DataFrame, number: int) -> DataFrame:
     """(tag, n) of the candidates ``found``, by ``number`` tries."""
     spark = symbols.sparkSession
-    schema = pa.schema([("tag", pa.int64()), ("n", pa.int64())])
     made = stored(tries(found, number))
     passes = []
     for first in range(0, number, TRIES_AT_ONCE):
@@ -396,29 +552,32 @@ def trie_counts(symbols: DataFrame, found: DataFrame, number: int) -> DataFrame:
 
         def run(batches, shared=shared):
             counts = [np.zeros(len(t["base"]), dtype=np.int64) for t in shared.value]
-            for lang, h, n in arrays(batches):
+            for lang, source, h, n in arrays(batches):
                 for t, c in zip(shared.value, counts, strict=True):
                     c += np.bincount(advance(t, lang, h, n), minlength=len(c))
-            for t, c in zip(shared.value, counts, strict=True):
+            for i, (t, c) in enumerate(zip(shared.value, counts, strict=True)):
                 hit = np.flatnonzero((c > 0) & (t["accept"] >= 0))
-                yield pa.RecordBatch.from_arrays([pa.array(t["tags"][t["accept"][hit]]), pa.array(c[hit])], schema=schema)
+                phrase = np.sort(t["accept"][hit])
+                per = np.zeros(len(t["tags"]), dtype=np.int64)
+                per[t["accept"][hit]] = c[hit]
+                yield from packed(((i << 20) + phrase // TRIE_PART).astype(np.int32), 0, t["tags"][phrase], per[phrase])
 
-        summed = symbols.mapInArrow(run, "tag bigint, n bigint").groupBy("tag").agg(F.sum("n").alias("n"))
-        passes.append(stored(summed.where(F.col("n") >= LEAST)))
+        shares_ = len(part) * (1 + TRIE_PHRASES // TRIE_PART)
+        passes.append(stored(summed(symbols.mapInArrow(run, PACKED), shares_, np.int64, np.int64).select(F.col("key").alias("tag"), "n")))
     out = passes[0]
     for p in passes[1:]:
         out = out.union(p)
     return out
 
 
-def shuffled_counts(symbols: DataFrame, pairs_bits, triples_bits) -> DataFrame:
+def shuffled_counts(symbols: DataFrame, parts: int, pairs_bits, triples_bits) -> DataFrame:
     """(lang, a, b, c, n): the same counts without tries, every place's phrases summed by shuffle."""
     schema = pa.schema([("lang", pa.string()), *((x, pa.int64()) for x in "abcn")])
 
     def run(batches):
-        for lang, h, n in arrays(batches):
-            at, _, triples = phrase_keys(lang, h, n, pairs_bits.value)
-            three = at[(triples != 0) & known(triples_bits.value, triples)]
+        for lang, source, h, n in arrays(batches):
+            at, _, triples = phrase_keys(lang, h, n, parts, pairs_bits.value)
+            three = at[(triples != 0) & known(triples_bits.value, folded(triples, parts))]
             f = pd.DataFrame({"a": h[np.concatenate([at, three])], "b": h[np.concatenate([at, three]) + 1],
                               "c": np.concatenate([np.zeros(len(at), np.uint64), h[three + 2]])})
             f = f.groupby(["a", "b", "c"], sort=False).size().reset_index(name="n")
@@ -435,21 +594,22 @@ def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     spark = docs.sparkSession
     bound_batches(spark)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), full_text().alias("text"))
-    counts = stored(word_counts(docs))
-    salt = free_of_collisions(counts)
-    common = counts.where(F.col("n") >= LEAST).select("lang", hashed(salt).alias("h"), "word", "n")
+    counts, salt = counted_words(docs)
+    common = counts.where(F.col("n") >= LEAST)
     share = spark.sparkContext.broadcast
     symbols = stored(symbol_arrays(docs, share(bitmap(common, "h")), salt))
-    pair_sums = bounded(symbols)
-    pairs_bits = share(bitmap(pair_sums, "key"))
-    triple_sums = bounded(symbols, pairs_bits)
-    triples_bits = share(bitmap(triple_sums, "key"))
-    found = stored(candidates(symbols, pair_sums, triple_sums, pairs_bits, triples_bits).withColumn("tag", F.monotonically_increasing_id()))
+    parts = shares(counts.agg(F.sum("n")).first()[0] or 0)
+    pairs = bounded(symbols, parts)
+    pairs_bits = share(bitmap(pairs, "key"))
+    triples = bounded(symbols, parts, pairs_bits)
+    triples_bits = share(bitmap(triples, "key"))
+    found = stored(candidates(symbols, parts, pairs_bits, share(bitmap(pairs, "own")), triples_bits, share(bitmap(triples, "own")))
+                   .withColumn("tag", F.monotonically_increasing_id()))
     number = -(-found.count() // TRIE_PHRASES)
     if not number:
         phrases = found.withColumn("n", F.lit(0).cast("bigint")).drop("tag")
     elif number > TRIES_AT_ONCE * MOST_PASSES:
-        phrases = shuffled_counts(symbols, pairs_bits, triples_bits)
+        phrases = shuffled_counts(symbols, parts, pairs_bits, triples_bits)
     else:
         phrases = found.join(trie_counts(symbols, found, number), "tag").drop("tag")
     return counts, common, stored(phrases)

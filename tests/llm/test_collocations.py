@@ -70,7 +70,7 @@ def test_tries_passes_and_shuffle_agree_with_brute_force(spark, monkeypatch, how
         monkeypatch.setattr(C, "MOST_PASSES", 0)
         monkeypatch.setattr(C, "trie_counts", None)
     if how == "small blocks":
-        for name, value in (("CHUNK", 50), ("KEYS", 100), ("BLOCK", 16), ("MEMO_WORDS", 5), ("FLUSH_WORDS", 7), ("BITMAP_BITS", 1 << 15)):
+        for name, value in (("CHUNK", 50), ("KEYS", 100), ("BLOCK", 16), ("TRIE_PART", 7), ("BITMAP_BITS", 1 << 15)):
             monkeypatch.setattr(C, name, value)
     docs, df = invented(spark)
     want = brute([(lang, t) for _, t, lang in docs])
@@ -103,15 +103,35 @@ def test_double_array_holds_its_phrases_only():
         assert got == +want
 
 
-def test_symbols_equal_spark_and_collisions_take_another_salt(spark, monkeypatch):
-    words = ["a", "é", "漢字", "x" * 70, "w-1"]
-    df = spark.createDataFrame([("en", w, 1) for w in words], "lang string, word string, n bigint")
-    for salt in ("", "3\t"):
-        got = {r.word: r.h % 2**64 for r in df.select("word", C.hashed(salt).alias("h")).collect()}
-        assert got == {w: C.symbol(w.encode(), salt) for w in words}
-    real = C.hashed
-    monkeypatch.setattr(C, "hashed", lambda salt: real(salt) if salt == "2\t" else C.F.lit(5))
-    assert C.free_of_collisions(df) == "2\t"
+def test_words_are_split_as_by_the_pattern(monkeypatch):
+    import pyarrow as pa
+    r = random.Random(5)
+    texts = ["".join(r.choice(["a", "B", "é", "漢", "word", "longer-than-eight-bytes", "x" * 40, " ", " ", "\t", ".", "!", "\n", "\r", "\x00"]) for _ in range(n))
+             for n in (0, 1, 5, 0, 200, 3, 77, 0)]
+    for block in (1, 7, 64, 1 << 22):
+        monkeypatch.setattr(C, "BLOCK", block)
+        got = [[] for _ in texts]
+        seen = {}
+        for found, of in C.word_blocks(pa.array(["skip"] + texts)[1:], 3):
+            for w, d, new, h in zip(found.texts(np.arange(len(of))).to_pylist(), of, found.new, found.symbols.tolist()):
+                got[d] += [[]] if new else []
+                got[d][-1].append(w)
+                assert seen.setdefault(w, h) == h
+        assert len(set(seen.values())) == len(seen) and 0 not in seen.values()
+        want = [[re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), t))] for t in texts]
+        assert got == [[p for p in t if p] for t in want]
+
+
+def test_words_that_share_a_symbol_are_told_apart(spark, monkeypatch):
+    real = C.Words._hash
+    monkeypatch.setattr(C.Words, "_hash", lambda self, salt: real(self, salt) if salt == 2 else self.sizes.astype(np.uint64))
+    docs, df = invented(spark, 200)
+    df = df.selectExpr("coalesce(lang, 'und') lang", "text")
+    counts, salt = C.counted_words(df)
+    assert salt == 2
+    for k in (0, 2):
+        got = {(r.lang, r.word): r.n for r in C.word_counts(df, k).collect()}
+        assert got == {(lang, w[0]): n for lang, c in count([(x, t) for _, t, x in docs]).items() for w, n in c.items() if len(w) == 1}
 
 
 def test_score_is_exact_beyond_64_bits(spark):
