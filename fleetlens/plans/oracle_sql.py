@@ -302,10 +302,10 @@ _SPLIT_COLS = {
 }
 
 
-def split_sql(with_feedback: bool) -> str:
+def split_sql(with_feedback: bool, seed: int = 42) -> str:
     """80 of 100: the first eight hex digits of the row's md5 under 0xcccccccc."""
     head, select = _feature_select(with_feedback)
-    text = " || '|' || ".join(["'42'"] + [f"coalesce(cast({c} as varchar), '')" for c in _SPLIT_COLS[with_feedback]])
+    text = " || '|' || ".join([f"'{seed}'"] + [f"coalesce(cast({c} as varchar), '')" for c in _SPLIT_COLS[with_feedback]])
     return f"""{head.rstrip()}, ff AS ({select.strip()})
 SELECT *, case when substr(md5({text}), 1, 8) < 'cccccccc' then 'train' else 'test' end AS split FROM ff"""
 
@@ -328,7 +328,90 @@ SELECT city_id, day, courier_id, shop_id, acceptance_time, {scaled} FROM raw"""
 
 def fusion_check_sql() -> str:
     return f"""SELECT split, count(*) AS predictions, 0::bigint AS off_mean
-FROM ({split_sql(False)}) GROUP BY split"""
+FROM ({split_sql(False, 20)}) GROUP BY split"""
+
+
+def streamed_scoring_sql() -> str:
+    return f"""SELECT split, count(*) AS predictions, 0::bigint AS differing
+FROM ({split_sql(False, 20)}) GROUP BY split"""
+
+
+def _line(cols, **other) -> str:
+    return " || ',' || ".join(f"'{other[c]}'" if c in other else f"coalesce(cast({c} as varchar), '')" for c in cols)
+
+
+def csv_rejects_sql() -> str:
+    """The broken lines of one row in 41; which fault follows from the row number."""
+    faults = {0: (_line(_REPORT_COLS[:-1]), "too_few_fields", ""), 1: (_line(_REPORT_COLS) + " || ',more'", "too_many_fields", ""),
+              2: (_line(_REPORT_COLS, acceptance_hour="x7", pickup_minute="1.5"), "bad_value", "acceptance_hour,pickup_minute"),
+              3: (_line(_REPORT_COLS, shop_id='"open'), "unclosed_quote", "")}
+    return with_base("\nUNION ALL\n".join(f"""
+SELECT {text} AS line, '{reason}' AS reason, '{bad}' AS bad_columns
+FROM courier_report WHERE no % 41 = 0 AND no % 5 = {k}""" for k, (text, reason, bad) in faults.items()))
+
+
+def distinct_by_day_sql() -> str:
+    return with_base("""
+, days AS (SELECT DISTINCT day AS d FROM report_clean)
+SELECT d AS day, count(*) AS orders, count(DISTINCT courier_id) AS couriers, count(DISTINCT shop_id) AS shops,
+       true AS couriers_within, true AS shops_within
+FROM days JOIN report_clean r ON r.day <= d GROUP BY d""")
+
+
+def quantiles_by_day_sql() -> str:
+    return with_base("""
+, days AS (SELECT DISTINCT day AS d FROM timed WHERE diff IS NOT NULL)
+SELECT d AS day, count(diff) AS timed_orders, true AS p01_within, true AS p50_within, true AS p99_within
+FROM days JOIN timed t ON t.day <= d GROUP BY d""")
+
+
+def top_lists_sql() -> str:
+    lists = {"phone_mode": ("courier_device_clean", ["phone_mode"]), "os_version": ("courier_device_clean", ["phone_mode", "os_version"]),
+             "brand": ("merchant_device_clean", ["brand"]), "model": ("merchant_device_clean", ["model"])}
+    return with_base("\nUNION ALL\n".join(f"""
+SELECT '{name}' AS list, {" || '/' || ".join(keys)} AS item, "count"
+FROM (SELECT {", ".join(keys)}, count(*) AS "count" FROM {table} GROUP BY ALL ORDER BY "count" DESC, {", ".join(keys)} LIMIT 20)"""
+                                            for name, (table, keys) in lists.items()))
+
+
+def exact_split_sql() -> str:
+    """ceil(80%) of each city's rows, in the order of their md5, are train."""
+    head, select = _feature_select(False)
+    text = " || '|' || ".join(["'42'"] + [f"coalesce(cast({c} as varchar), '')" for c in _SPLIT_COLS[False]])
+    return f"""{head.rstrip()}, ff AS ({select.strip()})
+SELECT *, case when row_number() OVER (PARTITION BY city_id ORDER BY md5({text})) * 100 < count(*) OVER (PARTITION BY city_id) * 80 + 100
+          then 'train' else 'test' end AS split FROM ff"""
+
+
+def text_clocks_sql() -> str:
+    ok = lambda c: f"regexp_full_match({c}, '([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]')"
+    sec = lambda c: (f"case when {ok(c)} then cast(substr({c}, 1, 2) as bigint) * 3600 + cast(substr({c}, 4, 2) as bigint) * 60 "
+                     f"+ cast(substr({c}, 7, 2) as bigint) end")
+    return with_base(f"""
+, texts AS (SELECT no, day, courier_id, shop_id, {_fmt("acceptance")} AS a, {_fmt("delivery")} AS b FROM report_clean),
+dirty AS (SELECT no, day, courier_id, shop_id, b AS delivery_text,
+  case no % 17 when 0 then '24:00:00' when 1 then substr(a, 2, 7) when 2 then ' ' || a when 3 then substr(a, 1, 5)
+               when 4 then substr(a, 1, 6) || '60' when 5 then 'noon' else a end AS acceptance_text FROM texts),
+timed2 AS (SELECT *, {sec("acceptance_text")} AS acceptance_seconds, {sec("delivery_text")} AS delivery_seconds FROM dirty)
+SELECT no, day, courier_id, shop_id, acceptance_text, delivery_text, acceptance_seconds,
+       delivery_seconds - acceptance_seconds + case when delivery_seconds < acceptance_seconds then 86400 else 0 end AS work_duration_seconds
+FROM timed2""")
+
+
+def filtered_join_sql() -> str:
+    keys = ["city_id", "day", "courier_id", "shop_id", "acceptance_hour", "acceptance_minute", "acceptance_second"]
+    rest = [f"r.{c}" for c in _REPORT_COLS if c not in keys] + [f"f.{c}" for c in _FEEDBACK_COLS if c not in keys]
+    return with_base(f"""
+SELECT {", ".join(f"r.{k}" for k in keys)}, {", ".join(rest)}
+FROM report_clean r LEFT JOIN feedback_clean f ON {" AND ".join(f"r.{k} = f.{k}" for k in keys)}""")
+
+
+def csv_checked_rows_sql() -> str:
+    return with_base(f"""
+SELECT {", ".join(_REPORT_COLS)} FROM courier_report
+UNION ALL
+SELECT {", ".join("cast(null as int) AS day" if c == "day" else c for c in _REPORT_COLS)}
+FROM courier_report WHERE no % 41 = 0 AND no % 5 = 4""")
 
 
 _FAULT_KINDS = {
@@ -454,6 +537,19 @@ SELECT day, shop_id, shop_day_count FROM r WHERE rk <= 3"""),
         "clean_courier_feedback": with_base("SELECT * FROM feedback_clean"),
         "clean_courier_report": with_base("SELECT * FROM report_clean"),
         "clean_audit": clean_audit_sql(),
+        "clean_audit_while_writing": clean_audit_sql(),
+        "incremental_clean_courier_report": with_base("""
+SELECT *, case day when 3 then 'changed' when 7 then 'new' else 'unchanged' end AS status FROM report_clean"""),
+        "csv_rejects_courier_report": csv_rejects_sql(),
+        "csv_checked_rows_courier_report": csv_checked_rows_sql(),
+        "streamed_scoring_report_only": streamed_scoring_sql(),
+        "distinct_counts_by_day_prefix": distinct_by_day_sql(),
+        "work_quantiles_by_day_prefix": quantiles_by_day_sql(),
+        "courier_final_from_days": courier_final_sql(),
+        "top_lists_from_summaries": top_lists_sql(),
+        "text_clock_durations": text_clocks_sql(),
+        "exact_split_report_only": exact_split_sql(),
+        "filtered_feedback_join": filtered_join_sql(),
         "clean_after_faults_courier_feedback": _clean_after_faults_sql("courier_feedback"),
         "clean_after_faults_courier_report": _clean_after_faults_sql("courier_report"),
         "clean_after_faults_merchant_device": _clean_after_faults_sql("merchant_device"),

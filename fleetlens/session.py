@@ -84,6 +84,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def kept_folder(spark: SparkSession, name: str) -> str:
+    """``stable_folder`` where ``spark.checkpoint.dir`` names one, else (a local
+    master) a folder that this application keeps."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return stable_folder(spark, name)
+    return f"{ensure_checkpoint_dir(spark)}/{name}"
+
+
 def materialize(df, checkpoint: bool = True):
     """Cut the lineage of a frame that several jobs read: a reliable
     checkpoint into the shared checkpoint folder (survives executor loss),

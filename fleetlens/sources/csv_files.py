@@ -66,6 +66,11 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return F.coalesce(infinite, text.try_cast("double"))
 
 
+def _unquoted(text: Column) -> Column:
+    inner = F.regexp_replace(F.substr(text, F.lit(2), F.length(text) - 2), r'\\(["\\])', "$1")
+    return F.when(text == "", F.lit(None)).when((F.length(text) > 1) & text.startswith('"') & text.endswith('"'), inner).otherwise(text)
+
+
 def parsed_lines(spark: SparkSession, table: str, paths, delimiter: str = ",", header: bool = True) -> DataFrame:
     """Every line as a record: the table's columns, then ``source_file``,
     ``line``, ``reason`` (NULL where the line is a row) and ``columns`` (those
@@ -77,11 +82,18 @@ def parsed_lines(spark: SparkSession, table: str, paths, delimiter: str = ",", h
     names = [f.name for f in schema.fields]
     lines = (spark.read.text(paths).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"))
              .where(F.length("line") > 0))
-    bare = F.regexp_replace("line", _QUOTED, "q")
-    count = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
-    text = F.from_csv("line", ", ".join(f"`{n}` string" for n in names), {"sep": delimiter, "mode": "PERMISSIVE"})
-    rows = lines.select("line", "source_file", count.alias("_fields"), bare.contains('"').alias("_open"), text.alias("_text"))
-    field = lambda f: F.col(f"_text.`{f.name}`")
+    sep = "".join("\\" + c if not c.isalnum() else c for c in delimiter)
+    quoted = F.col("line").contains('"')
+    each = F.lit(f"{sep}({_QUOTED}[^{sep}]*|[^{sep}]*)")         # a field with the delimiter before it
+    cut = F.when(quoted, F.regexp_extract_all(F.concat(F.lit(delimiter), F.col("line")), each, F.lit(1))).otherwise(F.split("line", sep, -1))
+    # one row for each line, but a generator: what is computed from the fields
+    # below then reads them, instead of each expression splitting the line again
+    rows = lines.select(F.inline(F.array(F.struct(
+        "line", "source_file", F.regexp_replace("line", _QUOTED, "").contains('"').alias("_open"),
+        F.transform(cut, _unquoted).alias("_text")))))
+    place = {f.name: i for i, f in enumerate(schema.fields)}
+    field = lambda f: F.get("_text", F.lit(place[f.name]))
+    rows = rows.withColumn("_fields", F.size("_text"))
     whole = (F.col("_fields") == len(names)) & ~F.col("_open")
     bad = F.array_compact(F.array(*[F.when(~_readable(field(f), f.dataType), F.lit(f.name)) for f in schema.fields]))
     rows = rows.withColumn("_bad", F.when(whole, bad))

@@ -1,5 +1,7 @@
 """Feature frames, split, metrics and the fused ensemble."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from fleetlens.plans import models as M
@@ -58,3 +60,60 @@ def test_join_is_lazy(spark, tables):
     feature_frame(tables.report, tables.feedback)
     assert not sc.statusTracker().getJobIdsForGroup("lazy")
     sc._jsc.clearJobGroup()
+
+
+REUSE = """
+import sys
+from fleetlens.plans import models as M
+from fleetlens.session import build_session
+spark = build_session("local[2]", 2)
+trained = M.load_models(spark, sys.argv[1] + "/models")
+data = spark.read.parquet(sys.argv[1] + "/data")
+M.predictions(data, trained).write.parquet(sys.argv[1] + "/again")
+print(sorted(trained.fit_seconds), trained.fit_steps)
+"""
+
+
+def test_models_are_scored_in_another_session_and_in_batches(spark, tables, scratch_dir):
+    import subprocess
+    import sys
+    data = M.with_split(feature_frame(tables.report), seed=3)
+    data.repartition(4).write.parquet(scratch_dir + "/data")
+    data = spark.read.parquet(scratch_dir + "/data")
+    trained = M.train(data, with_feedback=False, seed=3)
+    batch = M.predictions(data, trained)
+    assert not M.saved(spark, scratch_dir + "/models")
+    M.save_models(trained, scratch_dir + "/models", spark)
+    assert M.saved(spark, scratch_dir + "/models")
+    env = os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    out = subprocess.run([sys.executable, "-c", REUSE, scratch_dir], env=env, capture_output=True, text=True, timeout=300, cwd=scratch_dir)
+    assert "['gbt', 'lr', 'rf']" in out.stdout, out.stderr[-2000:]
+    again = spark.read.parquet(scratch_dir + "/again")
+    assert batch.exceptAll(again).count() == 0 and again.count() == batch.count()
+    # streamed: a file a batch, then files that come later
+    loaded = M.load_models(spark, scratch_dir + "/models")
+    score = lambda: M.score_stream(spark, loaded, scratch_dir + "/data", scratch_dir + "/out", scratch_dir + "/progress", 1).awaitTermination()
+    score()
+    streamed = spark.read.parquet(scratch_dir + "/out")
+    assert batch.exceptAll(streamed).count() == 0 and streamed.count() == batch.count()
+    data.limit(10).write.mode("append").parquet(scratch_dir + "/data")
+    score()
+    assert spark.read.parquet(scratch_dir + "/out").count() == batch.count() + 10
+    check = {r.split: (r.predictions, r.differing) for r in M.scoring_check(batch, streamed).collect()}
+    assert sum(n for n, _ in check.values()) == batch.count() and all(d == 0 for _, d in check.values())
+    off = streamed.withColumn("prediction_lr", F.when(F.col("day") == 1, F.col("prediction_lr") + 1).otherwise(F.col("prediction_lr")))
+    assert sum(r.differing for r in M.scoring_check(batch, off).collect()) == streamed.where("day = 1").count()
+
+
+def test_models_are_fitted_once_for_the_same_rows(spark, tables, scratch_dir, monkeypatch):
+    ff = feature_frame(tables.report).where("day < 3")
+    first, one = M.run_models(ff, False, seed=5, folder=scratch_dir)
+    monkeypatch.setattr(M, "train", lambda *a, **k: 1 / 0)
+    second, two = M.run_models(ff.orderBy(F.rand(2)), False, seed=5, folder=scratch_dir)
+    assert first.exceptAll(second).count() == 0 and one.fit_seconds == two.fit_seconds and two.fit_steps == one.fit_steps
+    for other in (dict(features=ff.where("day < 2"), seed=5), dict(features=ff, seed=6)):
+        try:
+            M.run_models(other["features"], False, seed=other["seed"], folder=scratch_dir)
+        except ZeroDivisionError:
+            continue
+        raise AssertionError("models of other rows or options were taken")
