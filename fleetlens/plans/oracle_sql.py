@@ -326,6 +326,20 @@ raw AS (SELECT city_id, day, courier_id, shop_id, acceptance_time, {values} FROM
 SELECT city_id, day, courier_id, shop_id, acceptance_time, {scaled} FROM raw"""
 
 
+def scaled_on_train_sql() -> str:
+    """As ``scaled_sql`` of the report alone, ranges from the training rows."""
+    raw = [f"case when city_id = {k} then 1.0 else 0.0 end" for k in range(9)] + [
+        f"cast({c} as double)" for c in ("day", "acceptance_time", "arrier_time", "pickup_time")]
+    top = lambda i: f"(max(v{i}) FILTER (WHERE split = 'train') OVER ())"
+    low = lambda i: f"(min(v{i}) FILTER (WHERE split = 'train') OVER ())"
+    scaled = ", ".join(f"case when {top(i)} = {low(i)} then 0.5 else (v{i} - {low(i)}) * (1.0::double / ({top(i)} - {low(i)})) end AS f{i}"
+                       for i in range(len(raw)))
+    values = ", ".join(f"cast({x} as double) AS v{i}" for i, x in enumerate(raw))
+    return f"""WITH s AS ({split_sql(False)}),
+raw AS (SELECT city_id, day, courier_id, shop_id, acceptance_time, split, {values} FROM s)
+SELECT city_id, day, courier_id, shop_id, acceptance_time, {scaled} FROM raw"""
+
+
 def fusion_check_sql() -> str:
     return f"""SELECT split, count(*) AS predictions, 0::bigint AS off_mean
 FROM ({split_sql(False, 20)}) GROUP BY split"""
@@ -540,6 +554,9 @@ SELECT day, shop_id, shop_day_count FROM r WHERE rk <= 3"""),
         "clean_audit_while_writing": clean_audit_sql(),
         "incremental_clean_courier_report": with_base("""
 SELECT *, case day when 3 then 'changed' when 7 then 'new' else 'unchanged' end AS status FROM report_clean"""),
+        "streamed_clean_courier_feedback": with_base("SELECT * FROM feedback_clean"),
+        "corrupted_table_merchant_device": inject_faults_sql("merchant_device"),
+        "scaled_features_fitted_on_train": scaled_on_train_sql(),
         "csv_rejects_courier_report": csv_rejects_sql(),
         "csv_checked_rows_courier_report": csv_checked_rows_sql(),
         "streamed_scoring_report_only": streamed_scoring_sql(),

@@ -26,6 +26,7 @@ from ..operators.joins import filtered_join, skew_safe_join
 from ..schemas import FEEDBACK_JOIN_KEYS
 from ..session import ensure_checkpoint_dir, kept_folder, materialize
 from ..sources import catalog, csv_files
+from ..streaming import clean
 from . import analytics as A
 from . import daily, incremental, jobs
 from . import models as M
@@ -203,6 +204,25 @@ def _dirty_files(t: CourierTables) -> list[str]:
     return [f"{folder}/good", f"{folder}/broken"]
 
 
+def _streamed_clean(t: CourierTables):
+    """L-2, L-6: the feedback files arrive in two parts, the second with rows
+    of closed days and copies; the clean table of the stream."""
+    db, folder = _own_database(t, "fleetlens_streamed"), f"{ensure_checkpoint_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    raw = t.raw("courier_feedback")
+    for name, rows in (("a", raw.where("day >= 3 or feedback = 1")), ("b", raw.where("day <= 6"))):
+        csv_files.write_table(rows, f"{folder}/landing/{name}")
+        clean.clean_stream(t.spark, "courier_feedback", f"{folder}/landing/*", db, 2, f"{folder}/progress")
+    return catalog.table(t.spark, db, "courier_feedback_clean").drop("batch")
+
+
+def _corrupted_table(t: CourierTables):
+    """L-12: a catalog table after the job that appends fault rows."""
+    db = _own_database(t, "fleetlens_corrupted")
+    catalog.write_table(t.raw("merchant_device"), db, "merchant_device")
+    jobs.fault_job(t.spark, db, tables=("merchant_device",))
+    return catalog.table(t.spark, db, "merchant_device")
+
+
 def _csv_rejects(t: CourierTables):
     """S-1: every line that is no row, with the reason."""
     parsed = csv_files.parsed_lines(t.spark, "courier_report", _dirty_files(t))
@@ -252,6 +272,8 @@ QUALITY: dict[str, Query] = {
                                                "courier_feedback", "courier_report")})),
     "clean_audit_while_writing": _on(_written_audit),
     "incremental_clean_courier_report": _on(_incremental),
+    "streamed_clean_courier_feedback": _on(_streamed_clean),
+    "corrupted_table_merchant_device": _on(_corrupted_table),
     **{f"inject_faults_{n}": _faults(n) for n in FAULT_TABLES},
     **{f"clean_after_faults_{n}": _clean_after_faults(n) for n in FAULT_TABLES},
 }
@@ -268,6 +290,7 @@ MODELS: dict[str, Query] = {
     "train_test_split_report_only": _split_query(False),
     "scaled_features_with_feedback": _on(lambda t: M.scaled_features(feature_frame(t.report, t.feedback), True)),
     "scaled_features_report_only": _on(lambda t: M.scaled_features(feature_frame(t.report), False)),
+    "scaled_features_fitted_on_train": _on(lambda t: M.scaled_features(M.with_split(feature_frame(t.report)), False, fit_on="train")),
     "fusion_check_report_only": _on(lambda t: M.fusion_check(_run(t, False)[0])),
     "streamed_scoring_report_only": _on(_streamed_scoring),
     "baseline_model_metrics": _on(lambda t: M.baseline_metrics(feature_frame(t.report))),

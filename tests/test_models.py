@@ -117,3 +117,42 @@ def test_models_are_fitted_once_for_the_same_rows(spark, tables, scratch_dir, mo
         except ZeroDivisionError:
             continue
         raise AssertionError("models of other rows or options were taken")
+
+
+def rows_of(model_folder, spark, kind):
+    """{tree: {node: row}} of a stored tree model, and the trees' weights."""
+    trees = {}
+    for r in spark.read.parquet(f"{model_folder}/{kind}/data").collect():
+        trees.setdefault(r.treeID, {})[r.nodeData.id] = r.nodeData
+    return trees, {r[0]: r[2] for r in spark.read.parquet(f"{model_folder}/{kind}/treesMetadata").collect()}
+
+
+def replay(nodes, x):
+    n = nodes[0]
+    while n.leftChild >= 0:
+        s = n.split
+        left = x[s.featureIndex] in s.leftCategoriesOrThreshold if s.numCategories >= 0 else x[s.featureIndex] <= s.leftCategoriesOrThreshold[0]
+        n = nodes[n.leftChild if left else n.rightChild]
+    return n.prediction
+
+
+def test_predictions_equal_stored_trees_and_least_squares(spark, tables, scratch_dir):
+    import numpy as np
+    data = M.with_split(feature_frame(tables.report), seed=7)
+    trained = M.train(data, with_feedback=False, seed=7)
+    M.save_models(trained, scratch_dir, spark)
+    scored = trained.predict(data).select("split", "features", "delivery_time", *[f"prediction_{m}" for m in M.MODEL_NAMES]).collect()
+    for kind in ("rf", "gbt"):
+        trees, weights = rows_of(scratch_dir, spark, kind)
+        assert len(trees) == 20
+        for r in scored[::25]:
+            x = r.features.toArray()
+            values = np.array([replay(trees[t], x) * (weights[t] if kind == "gbt" else 1 / len(trees)) for t in sorted(trees)])
+            assert abs(values.sum() - r[f"prediction_{kind}"]) < 1e-6
+    train = [r for r in scored if r.split == "train"]
+    x = np.array([[1.0, *r.features.toArray()] for r in train])
+    y = np.array([float(r.delivery_time) for r in train])
+    best = x @ np.linalg.lstsq(x, y, rcond=None)[0]
+    ours = np.array([r.prediction_lr for r in train])
+    # the solver stops near the least squares (its matrix is singular): its error is not above by 1%
+    assert ((y - ours) ** 2).mean() <= 1.01 * ((y - best) ** 2).mean()
