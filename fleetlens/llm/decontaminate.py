@@ -3,12 +3,15 @@ SQL functions only.
 
 A window of a document as long as a benchmark item (in words) is contaminated
 if the weighted Jaccard similarity of their five-word shingles is at least
-the threshold. Both have S shingles, so a window may lack at most S/9 of
+the threshold; at the end of a text, what is left of it is a window too.
+Both have S shingles, so a window may lack at most S/9 of
 the item's at 0.8; between the lacking ones lies a run of shared shingles of
 a known length. Looking up every ``stride``-th shingle of a document, with
 ``stride`` the shortest such run over all items, therefore hits each
-contaminated window; its place in the item gives the window's start, give or
-take the words that may be missing or added.
+contaminated window. In the documents and items that it pairs, every shingle
+is looked up, and the windows that hold enough of the item's are counted out
+by running sums; in which order the shingles stand doesn't matter, as it
+doesn't in the similarity.
 
 SimHash fingerprints (64 bits, shingles weighted by their counts) of those
 windows are compared with the item's by multi-index blocks: two fingerprints
@@ -27,7 +30,7 @@ empty tables give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import full_text, small, stored
@@ -78,6 +81,32 @@ def items(benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .withColumn("fingerprint", simhash("grams")))
 
 
+def starts(by_word: DataFrame, item: DataFrame, asked: DataFrame, widths: list[int], threshold: float) -> DataFrame:
+    """(doc_id, item_id, n, start) of the windows of pairs ``asked`` in which
+    enough shingles are the item's, wherever in the item they stand.
+
+    Each such place counts for the windows that hold it, from its first start
+    to its last: running sums over these ends give every window's count."""
+    grams = ", ".join(f"""transform(sequence(0, greatest(size(ws) - {w}, 0)),
+        i -> struct(i as at, xxhash64(slice(ws, i + 1, {w})) as gram, {w} as width))""" for w in widths)
+    places = (by_word.join(small(asked.select("doc_id").distinct()), "doc_id", "left_semi")
+              .select("doc_id", F.expr(f"explode(concat({grams}))").alias("s")).select("doc_id", "s.*"))
+    # fewer shared shingles than this cannot reach the threshold, not even in a text that ends before the window
+    known = small(item.select("item_id", "n", F.size("grams").alias("size"), F.least("n", F.lit(WORDS)).alias("width"),
+                              F.ceil(F.size("grams") * F.lit(threshold) - 1e-9).cast("int").alias("need"),
+                              F.explode(F.array_distinct("grams")).alias("gram")), BROADCAST_GRAMS)
+    found = places.join(known, ["gram", "width"]).join(asked, ["doc_id", "item_id"], "left_semi")
+    ends = found.select("doc_id", "item_id", "n", "need", F.explode(F.array(
+        F.struct(F.greatest(F.col("at") - F.col("size") + 1, F.lit(0)).alias("place"), F.lit(1).alias("change")),
+        F.struct((F.col("at") + 1).alias("place"), F.lit(-1).alias("change")))).alias("e"))
+    steps = ends.groupBy("doc_id", "item_id", "n", "need", "e.place").agg(F.sum("e.change").alias("change"))
+    pair = Window.partitionBy("doc_id", "item_id").orderBy("place")
+    counted = steps.select("doc_id", "item_id", "n", "need", "place", F.sum("change").over(pair).alias("shared"),
+                           F.lead("place").over(pair).alias("next"))
+    return (counted.where("shared >= need")
+            .select("doc_id", "item_id", "n", F.explode(F.sequence("place", F.col("next") - 1)).alias("start")))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, start_word, similarity): the best window of each pair."""
     item = stored(items(benchmark, threshold))
@@ -85,16 +114,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
     short = [r[0] for r in item.where(F.col("n") < WORDS).select("n").distinct().collect()]      # at most WORDS - 1
     steps = [(WORDS, stride), *[(n, 1) for n in sorted(short)]]
     looked_up = ", ".join(f"""transform(sequence(0, greatest(size(ws) - {w}, 0), {step}),
-        i -> struct(i as at, xxhash64(slice(ws, i + 1, {w})) as gram))""" for w, step in steps)
-    lookup = small(item.select("item_id", "n", "lost", F.posexplode("grams").alias("offset", "gram")), BROADCAST_GRAMS)
+        i -> xxhash64(slice(ws, i + 1, {w})))""" for w, step in steps)
+    lookup = small(item.select("item_id", F.explode("grams").alias("gram")).distinct(), BROADCAST_GRAMS)
     own = docs.where("doc_id is not null").select("doc_id", full_text().alias("text"))
-    sampled = (own.select("doc_id", words(F.col("text")).alias("ws")).where("size(ws) > 0")
-               .select("doc_id", F.expr(f"explode(concat({looked_up}))").alias("s"))
-               .select("doc_id", "s.at", "s.gram"))
-    hits = stored(sampled.join(lookup, "gram")
-                  .select("doc_id", "item_id", "n", F.explode(F.expr(
-                      "transform(sequence(-lost, lost), d -> greatest(at - offset + d, 0))")).alias("start"))
-                  .groupBy("doc_id", "item_id", "n").agg(F.collect_set("start").alias("starts")))
+    by_word = own.select("doc_id", words(F.col("text")).alias("ws")).where("size(ws) > 0")
+    sampled = by_word.select("doc_id", F.expr(f"explode(array_distinct(concat({looked_up})))").alias("gram"))
+    asked = stored(sampled.join(lookup, "gram").select("doc_id", "item_id").distinct())
+    hits = stored(starts(by_word, item, asked, [WORDS, *sorted(short)], threshold)
+                  .groupBy("doc_id", "item_id", "n").agg(F.collect_list("start").alias("starts")))
     window = (own.join(small(hits), "doc_id")
               .select("doc_id", "item_id", "n", "starts", words(F.col("text")).alias("ws"))
               .select("doc_id", "item_id", F.explode(F.expr(f"""transform(filter(starts, s -> s < size(ws)), s -> struct(

@@ -22,7 +22,7 @@ def brute(docs, items, threshold=0.8):
         for i, d in docs:
             v = ws(d)
             if w and v and any(sum((x & s).values()) >= threshold * sum((x | s).values())
-                               for x in (shingles(v[p:p + len(w)]) for p in range(max(1, len(v) - len(w) + 1)))):
+                               for x in (shingles(v[p:p + len(w)]) for p in range(len(v)))):
                 out.add((i, k))
     return out
 
@@ -53,6 +53,33 @@ def test_edited_passages(spark, seed):
     assert got == brute(docs, items)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_moved_parts(spark, seed):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    items = [(k, " ".join(word() for _ in range(r.choice([40, 59, 59, 90, 150])))) for k in range(15)]
+    docs = []
+    for i in range(60):
+        w = r.choice(items)[1].split()
+        cut = sorted(r.sample(range(len(w)), r.choice([1, 1, 1, 2])))
+        parts = [w[a:b] for a, b in zip([0, *cut], [*cut, len(w)])]
+        r.shuffle(parts)
+        w = sum(parts, [])
+        if r.random() < 0.3:
+            w[r.randrange(len(w))] = word()
+        if r.random() < 0.3:
+            w = w[:len(w) // 2] + [word() for _ in range(r.randint(1, 3))] + w[len(w) // 2:]
+        docs.append((i, " ".join([word() for _ in range(r.randint(0, 30))] + w + [word() for _ in range(r.randint(0, 30))])))
+    want = brute(docs, items)
+    got = {(x.doc_id, x.item_id) for x in D.matches(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                                    spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == want and len(want) > 30
+    a, b = items[1][1].split()[:30], items[1][1].split()[30:]
+    swapped = spark.createDataFrame([(1, " ".join(b + a))], "doc_id bigint, text string")
+    if len(a + b) >= 59:
+        assert D.matches(swapped, spark.createDataFrame(items[1:2], "item_id bigint, text string")).count() == 1
+
+
 def test_no_python_in_the_plan(spark):
     plan = queries.op9_benchmark_decontamination(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
