@@ -15,7 +15,6 @@ def check(got, docs, seq_len=1024):
     """Every document's ids come back from its pieces, sequences have no gap."""
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(P.tokenizer_path())
-    tok.encode_special_tokens = True
     want = sorted(((str(i), s, n, zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes()))
                    for i, t in docs for ids in [tok.encode(t or "", add_special_tokens=False).ids + [2]]
                    for s, n in P.cut(len(ids), seq_len)))
@@ -69,9 +68,9 @@ def test_exact_complements_fill_sequences():
 def test_fast_ids_are_the_tokenizers_ids():
     from tokenizers import Tokenizer
     tok, fast = Tokenizer.from_file(P.tokenizer_path()), P.load_encoder(P.tokenizer_path())
-    tok.encode_special_tokens = True
+    assert list(fast("<|endoftext|> a")) == [50256, 257]
     r = random.Random(0)
-    odd = ["", " ", "a" * 3000, "<|endoftext|> x", "é漢\U0001f600​  z", "it's 12345,678\n\n\t end ", "\x00\x01\x7f", "ſḰ"]
+    odd = ["", " ", "a" * 3000, "<|endoftext|> x", "a<|endoftext|><|endoftext|>\n", "<|endoftext", "é漢\U0001f600​  z", "it's 12345,678\n\n\t end ", "\x00\x01\x7f", "ſḰ"]
     odd += ["".join(chr(r.choice([r.randrange(32, 127), r.randrange(160, 0x600), r.randrange(0x3000, 0xD000)]))
                     for _ in range(200)) for _ in range(30)]
     for t in odd + [t or "" for _, t in texts()[:40]]:
@@ -80,6 +79,6 @@ def test_fast_ids_are_the_tokenizers_ids():
 
 def test_odd_rows_and_ranks_in_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(P, "RANK_BUCKET", 3)
-    docs = odd_docs(spark, ["same text"] * 20)
+    docs = odd_docs(spark, ["same text"] * 20 + ["x <|endoftext|> y"])
     check(P.pack(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
     assert P.pack(empty_docs(spark)).collect() == []
