@@ -5,11 +5,14 @@ key-like characters is a candidate; a small convolutional network in numpy
 reads its characters with the context on both sides and adds a ``model``
 span where its calibrated probability passes a threshold.
 
-The network learns from labelled findings: at most ``MAX_MINED`` of each
-label from the scanned documents (rule findings against the other
-candidates, those with the smallest hash of their characters) and
-``MAX_MADE`` of each label written by fixed recipes, so that it also knows key
-names and alphabets the rules don't have. A quarter of them is kept apart:
+A long candidate is read whole, in overlapping windows; of one
+that a rule span overlaps, the rest is judged.
+
+The network learns from labelled findings: at most ``MAX_MINED`` of the
+scanned documents' rule findings (those with the smallest hash) and
+``MAX_MADE`` examples of each label written by fixed recipes, so that it also knows key
+names and alphabets the rules don't have. No run of the documents counts as
+clean only because no rule finds it. A quarter of them is kept apart:
 it calibrates the probability (Platt) and sets the threshold, the highest
 that keeps ``RECALL`` of the findings there.
 
@@ -42,7 +45,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE = 6
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+LEAST_RUN = 16
 LEFT, BODY, RIGHT = 20, 36, 8         # characters of a window
+STEP = 12                             # between the windows of a long candidate
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + " +/_-=.:,;\"'@#$%&*()<>\n"
 WIDTH, FILTERS, EMBED, EPOCHS = 5, 24, 8, 12
 MAX_MINED, MAX_MADE = 1500, 1500
@@ -57,23 +62,36 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def key_like(run: str) -> bool:
+    return len(run) >= LEAST_RUN and any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+
+
 def candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Key-like runs with a digit and a letter that touch no rule span."""
+    """Key-like runs; of a run that rule spans overlap, the parts outside them."""
     out = []
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        run = m.group()
-        if any(c.isdigit() for c in run) and any(c.isalpha() for c in run) \
-                and not any(s < b and a < e for a, b, _ in taken):
+        for a, b, _ in taken:                   # by start
+            if a < e and s < b:
+                if key_like(text[s:a]):
+                    out.append((s, a))
+                s = max(s, b)
+        if key_like(text[s:e]):
             out.append((s, e))
     return out
 
 
+def windows(text: str, start: int, end: int) -> list[str]:
+    """The whole candidate in windows of ``BODY`` characters, each with its
+    context, padded to a fixed width: every ``STEP`` characters, and at the end."""
+    last = max(start, end - BODY)
+    return [window(text, at, end) for at in [*range(start, last, STEP), last]]
+
+
 def window(text: str, start: int, end: int) -> str:
-    """The candidate with its context, padded to a fixed width."""
+    stop = min(end, start + BODY)
     left = text[max(0, start - LEFT):start].rjust(LEFT, "\0")
-    body = text[start:min(end, start + BODY)].ljust(BODY, "\0")
-    return left + body + text[end:end + RIGHT].ljust(RIGHT, "\0")
+    return left + text[start:stop].ljust(BODY, "\0") + text[stop:stop + RIGHT].ljust(RIGHT, "\0")
 
 
 _CODE = {c: i + 2 for i, c in enumerate(ALPHABET)} | {"\0": 0}
@@ -138,6 +156,11 @@ class CharNet:
                     ps[i] -= 0.01 * (m[i] / (1 - 0.9 ** step)) / (np.sqrt(v[i] / (1 - 0.99 ** step)) + 1e-8)
 
 
+def spread_windows(text: str, start: int, end: int) -> tuple[list[str], list[int]]:
+    last = max(start, end - BODY)
+    return windows(text, start, end), [*range(start, last, STEP), last]
+
+
 def made_examples(n: int, seed: int = 3) -> tuple[list[str], list[int]]:
     """Labelled windows by fixed recipes: keys after key names, and long runs
     that are not keys (words, numbers, addresses, paths, identifiers)."""
@@ -164,8 +187,14 @@ def made_examples(n: int, seed: int = 3) -> tuple[list[str], list[int]]:
         name = name.upper() if r.random() < 0.3 else name
         lead = r.choice([" = ", "=", ": ", ":", " ", ' = "', "='", '": "'])
         before, after = prose(3) + r.choice([" ", "\n"]) + name + lead, r.choice(['" ', "' ", " ", "\n"]) + prose(2)
-        texts.append(window(before + key + after, len(before), len(before) + len(key)))
-        labels.append(1)
+        # one key in four stands at the end of a longer run; windows that hold most of it are positive, those before it are not
+        path = "".join(word(3, 9) + r.choice("/_-") for _ in range(r.randint(1, 5))) if i % 4 == 0 else ""
+        at = len(before) + len(path)
+        for w, start in zip(*spread_windows(before + path + key + after, len(before), at + len(key)), strict=True):
+            held = min(start + BODY, at + len(key)) - max(start, at)
+            if held >= min(18, len(key)) or held <= 0:
+                texts.append(w)
+                labels.append(int(held > 0))
         junk = r.choice([
             lambda: word(12, 24) + number(2), lambda: number(16) + word(1, 2), lambda: word(5, 8) + "-" + number(4) + "-" + word(5, 8),
             lambda: word() + "/" + word() + "/" + number(3) + "/" + word(6, 9), lambda: f"20{number(2)}-{number(2)}-{number(2)}T{number(8)}",
@@ -178,35 +207,29 @@ def made_examples(n: int, seed: int = 3) -> tuple[list[str], list[int]]:
     return texts, labels
 
 
-def mined_examples(docs: DataFrame, most: int) -> tuple[list[str], list[int]]:
-    """Labelled windows of the documents, at most ``most`` of each label."""
-    fields = pa.schema([("label", pa.int32()), ("window", pa.string())])
+def mined_examples(docs: DataFrame, most: int) -> list[str]:
+    """Windows of rule findings (of assignments, the value), at most ``most``.
+    The documents' other runs are no examples: any of them may be a secret."""
+    fields = pa.schema([("window", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             rows = set()
             for text in b.column(0).to_pylist():
-                spans = base_spans(text)
-                rows |= {(1, window(text, s, e)) for s, e, k in spans if k != "assign"}
-                rows |= {(0, window(text, s, e)) for s, e in candidates(text, spans)}
-            yield rows_to_batch(sorted(rows), fields)
+                found = [(s, e) for s, e, k in base_spans(text) if k != "assign"]
+                found += [m.span(2) for m in ASSIGN.finditer(text)]
+                rows |= {window(text, s, e) for s, e in found if key_like(text[s:e])}
+            yield rows_to_batch([(w,) for w in sorted(rows)], fields)
 
-    found = (docs.select(full_text().alias("text")).mapInArrow(run, "label int, window string"))
-    texts, labels = [], []
-    found = found.select("label", "window", F.xxhash64("window").alias("h")).distinct().persist()
-    for label in (0, 1):
-        rows = found.where(F.col("label") == label).orderBy("h", "window").limit(most).collect()
-        texts += [r.window for r in rows]
-        labels += [label] * len(rows)
-    found.unpersist()
-    return texts, labels
+    found = docs.select(full_text().alias("text")).mapInArrow(run, "window string").distinct()
+    return [r.window for r in found.orderBy(F.xxhash64("window"), "window").limit(most).collect()]
 
 
 def train(docs: DataFrame, most: int = MAX_MINED) -> tuple[CharNet, tuple[float, float], float]:
     """The network, its calibration (slope, shift) and the threshold."""
     texts, labels = made_examples(MAX_MADE)
     mined = mined_examples(docs, most)
-    x, y = encode(texts + mined[0]), np.array(labels + mined[1], dtype=float)
+    x, y = encode(texts + mined), np.array(labels + [1] * len(mined), dtype=float)
     order = np.random.default_rng(1).permutation(len(y))
     x, y = x[order], y[order]
     kept = len(y) // 4
@@ -220,7 +243,7 @@ def train(docs: DataFrame, most: int = MAX_MINED) -> tuple[CharNet, tuple[float,
         shift -= 0.1 * float((p - t).mean())
     p = 1 / (1 + np.exp(-(slope * z + shift)))
     threshold = float(np.quantile(p[t == 1], 1 - RECALL)) if t.any() else 1.0
-    return net, (slope, shift), max(threshold, 0.5)
+    return net, (slope, shift), threshold
 
 
 def finder(docs: DataFrame, most: int = MAX_MINED):
@@ -233,14 +256,15 @@ def finder(docs: DataFrame, most: int = MAX_MINED):
         found, ask = [], []
         for i, text in enumerate(texts):
             spans = base_spans(text)
-            ask += [(i, s, e, window(text, s, e)) for s, e in candidates(text, spans)]
+            ask += [(i, s, e, w) for s, e in candidates(text, spans) for w in windows(text, s, e)]
             found.append(spans)
+        keep = set()                            # a candidate is as likely as its likeliest window
         for at in range(0, len(ask), 512):
             part = ask[at:at + 512]
             p = 1 / (1 + np.exp(-(slope * net.forward(encode([a[3] for a in part]))[3] + shift)))
-            for (i, s, e, _), keep in zip(part, p >= threshold, strict=True):
-                if keep:
-                    found[i].append((s, e, "model"))
+            keep |= {a[:3] for a, likely in zip(part, p >= threshold, strict=True) if likely}
+        for i, s, e in keep:
+            found[i].append((s, e, "model"))
         return [sorted(f, key=lambda x: (x[0], KINDS.index(x[2]))) for f in found]
 
     return find

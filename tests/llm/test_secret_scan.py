@@ -53,6 +53,37 @@ def test_network_knows_new_keys_and_leaves_words(spark):
     assert found == [[(7, 7 + 2 * len(KEY), "model")], []]
 
 
+def test_whole_candidates_and_parts_beside_rule_spans():
+    text = "x " + "abc1/" * 30 + KEY + "== y"
+    (s, e), = S.candidates(text, [])
+    assert text[s:e] == "abc1/" * 30 + KEY + "=="
+    ws = S.windows(text, s, e)
+    assert "".join(sorted({c for w in ws for c in w} - {"\0"})) == "".join(sorted(set(text[s - S.LEFT if s > S.LEFT else 0:e + S.RIGHT])))
+    covered = {i for k, w in enumerate(ws) for i in range(s + k * S.STEP, s + k * S.STEP + S.BODY) if i < e}
+    assert covered | set(range(e - S.BODY, e)) == set(range(s, e)) and ws[-1].rstrip("\0").endswith("== y")
+    text = "deadbeef" * 4 + "-" + KEY + "/0123456789abcdef01234567-" + KEY
+    spans = S.base_spans(text)
+    parts = [text[a:b] for a, b in S.candidates(text, spans)]
+    assert len(spans) == 2 and len(parts) == 2 and all(KEY in x for x in parts)
+    assert S.candidates(f"token={KEY}", S.base_spans(f"token={KEY}")) == []
+
+
+def test_keys_are_found_behind_paths_and_in_a_table_full_of_them(spark):
+    lines = [f"bearer {KEY[k:]}{KEY[:k]}Zz9 for item {k}" for k in range(5)]
+    docs = odd_docs(spark, lines)
+    find = S.finder(docs)
+    assert sum([x[2] for x in f] == ["model"] for f in find(lines)) >= 4       # the threshold keeps 97% of findings
+    text = f"bearer static/assets/2024/reports/regional/quarterly/{KEY}{KEY}"
+    assert find([text]) == [[(7, len(text), "model")]]
+    # the same as reading every window of every candidate on its own
+    net, (a, b), threshold = S.train(docs)
+    more = lines + [text, "see a/path/to/some-file-2024-report and 12345678901234567a"]
+    for t, got in zip(more, find(more)):
+        plain = [(s, e, "model") for s, e in S.candidates(t, S.base_spans(t))
+                 if max(1 / (1 + np.exp(-(a * net.forward(S.encode([w]))[3][0] + b))) for w in S.windows(t, s, e)) >= threshold]
+        assert [x for x in got if x[2] == "model"] == plain
+
+
 def test_odd_rows(spark):
     got = rows(S.digest(S.scan(odd_docs(spark, CASES))))
     assert len(got) == 10 + len(CASES)
