@@ -143,10 +143,11 @@ def fault_job(spark: SparkSession, database: str, tables=("courier_feedback", "c
 
 
 def model_job(tables: CourierTables, with_feedback: bool = True, seed: int = 42,
-              result_database: str | None = None) -> DataFrame:
-    """Fit, predict, evaluate; optionally write predictions and metrics."""
+              result_database: str | None = None, folder: str | None = None) -> DataFrame:
+    """Fit, predict, evaluate; optionally write predictions and metrics. With
+    ``folder``, models stored there for the same rows are not fitted again."""
     feats = feature_frame(tables.report, tables.feedback if with_feedback else None)
-    preds, trained = M.run_models(feats, with_feedback, seed=seed)
+    preds, trained = M.run_models(feats, with_feedback, seed=seed, folder=folder)
     metrics = M.model_metrics(preds, trained)
     if result_database:
         suffix = "with_feedback" if with_feedback else "report_only"
