@@ -1,5 +1,5 @@
-"""Mergeable daily summaries (A-2, A-8, T-3): the facts are read once, a small
-table of sketches by day is stored, and any span of days is answered from it.
+"""Mergeable daily summaries (A-2, A-8, T-3): the facts are read once for a
+small table of sketches by day, and any span of days is answered from it.
 
 * Distinct counts: HyperLogLog sketches; a span's sketch is the union of its
   days', with the error of one sketch however many days it covers.

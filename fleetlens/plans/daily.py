@@ -1,7 +1,7 @@
 """Daily summary tables of the facts, and what is answered from them alone.
 
-``write_daily`` reads each clean fact table once and stores small tables by
-day; the functions below take those. A courier's figures over any span of
+``write_daily`` stores three small tables by day, each from one read of the
+clean fact tables that it needs; the functions below take those. A courier's figures over any span of
 days are sums of daily rows, so the scores (N-9) need no fact rows either.
 """
 
