@@ -65,7 +65,7 @@ BITMAP_BITS = 1 << 27       # 16 MB at most
 TRIE_PHRASES = 250_000
 TRIES_AT_ONCE = 4
 MOST_PASSES = 16
-TRIE_PART = 1 << 15         # phrases whose counts are summed together
+TRIE_PART = 1 << 12         # phrases whose counts are summed together
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
