@@ -23,7 +23,6 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 import string
