@@ -92,6 +92,14 @@ def clean_table(df: DataFrame, table: str) -> DataFrame:
     return out.where(range_predicate(rule)) if rule else out
 
 
+def clean_placed(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """``clean_table`` placed by ``keys``, for a join on them: equal rows have
+    equal keys, so one shuffle by key serves the dedupe and the join. Copies
+    of a row meet in their key's task, where they collapse as they are read."""
+    valid = drop_incomplete(df).where(validity_predicate(table))
+    return dedupe(valid.repartition(*keys))
+
+
 def clean_audit(raw: dict[str, DataFrame]) -> DataFrame:
     """L-7 as data: per table, how many rows each cleaning step removes.
 

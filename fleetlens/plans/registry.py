@@ -93,12 +93,19 @@ def _clean_after_faults(table: str) -> Query:
     return _on(lambda t: clean_table(inject_faults(t.raw(table)), table))
 
 
+def _frame(t: CourierTables, with_feedback: bool) -> DataFrame:
+    """The feature frame; both facts are cleaned where they are joined."""
+    if not with_feedback:
+        return feature_frame(t.report)
+    return feature_frame(*[t.placed(n, FEEDBACK_JOIN_KEYS) for n in ("courier_report", "courier_feedback")])
+
+
 def _features(with_feedback: bool) -> Query:
-    return _on(lambda t: feature_frame(t.report, t.feedback if with_feedback else None))
+    return _on(lambda t: _frame(t, with_feedback))
 
 
 def _split_query(with_feedback: bool) -> Query:
-    return _on(lambda t: M.with_split(feature_frame(t.report, t.feedback if with_feedback else None)))
+    return _on(lambda t: M.with_split(_frame(t, with_feedback)))
 
 
 def _hot_key_join(t: CourierTables):
@@ -143,7 +150,7 @@ def _orc_result(t: CourierTables):
 
 def _run(t: CourierTables, with_feedback: bool):
     """Predictions and models; models that were fitted on the same rows before are loaded."""
-    return M.run_models(feature_frame(t.report, t.feedback if with_feedback else None), with_feedback,
+    return M.run_models(_frame(t, with_feedback), with_feedback,
                         seed=42 if with_feedback else 20, folder=kept_folder(t.spark, "models"))
 
 
@@ -288,7 +295,7 @@ MODELS: dict[str, Query] = {
     "hot_key_join": _on(_hot_key_join),
     "train_test_split_with_feedback": _split_query(True),
     "train_test_split_report_only": _split_query(False),
-    "scaled_features_with_feedback": _on(lambda t: M.scaled_features(feature_frame(t.report, t.feedback), True)),
+    "scaled_features_with_feedback": _on(lambda t: M.scaled_features(_frame(t, True), True)),
     "scaled_features_report_only": _on(lambda t: M.scaled_features(feature_frame(t.report), False)),
     "scaled_features_fitted_on_train": _on(lambda t: M.scaled_features(M.with_split(feature_frame(t.report)), False, fit_on="train")),
     "fusion_check_report_only": _on(lambda t: M.fusion_check(_run(t, False)[0])),

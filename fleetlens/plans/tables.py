@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.cleaning import clean_table
+from ..operators.cleaning import clean_placed, clean_table
 from ..schemas import TABLES
 from ..sources import adapter, catalog, csv_files
 
@@ -74,6 +74,10 @@ class CourierTables:
             self.clean_frames[name] = clean_table(self.raw(name), name)
         return self.clean_frames[name]
 
+    def placed(self, name: str, keys: list[str]) -> DataFrame:
+        """The cleaned table, shuffled by ``keys`` if it is still to be cleaned."""
+        return self.clean(name) if name in self.stored_clean else clean_placed(self.raw(name), name, keys)
+
     # shorthands for the two fact tables and two device tables
     @property
     def report(self) -> DataFrame:
