@@ -24,3 +24,9 @@ def test_one_shuffle_serves_dedupe_and_join(spark, tables):
     for name in ("courier_feedback", "courier_report"):
         placed = tables.placed(name, FEEDBACK_JOIN_KEYS)
         assert sorted(map(repr, placed.collect())) == sorted(map(repr, tables.clean(name).collect()))
+
+
+def test_scaled_features_build_the_frame_once(spark, tables):
+    out = M.scaled_features(feature_frame(tables.report), False)
+    assert "Aggregate" not in plan(out) and "parquet" in plan(out).lower()
+    assert out.count() == tables.report.count()
