@@ -23,8 +23,8 @@ from ..operators.faults import inject_faults
 from ..functions.timeops import parse_clock, text_duration_seconds, time_text
 from ..operators import sketches
 from ..operators.joins import filtered_join, skew_safe_join
-from ..schemas import FEEDBACK_JOIN_KEYS
-from ..session import ensure_checkpoint_dir, kept_folder, materialize
+from ..schemas import FEEDBACK_JOIN_KEYS, stage_columns
+from ..session import ensure_checkpoint_dir, kept_folder, kept_rows, materialize
 from ..sources import catalog, csv_files
 from ..streaming import clean
 from . import analytics as A
@@ -248,7 +248,8 @@ def _distinct_by_day(t: CourierTables):
 
 def _quantiles_by_day(t: CourierTables):
     """A-8: work-duration quantiles of every prefix of days, from daily sketches."""
-    return daily.quantile_bound_check(t.report, materialize(daily.daily_work(t.report)))
+    timed = kept_rows(t.report.select("day", *stage_columns(("acceptance", "delivery"))))      # read twice, cleaned once
+    return daily.quantile_bound_check(timed, materialize(daily.daily_work(timed)))
 
 
 def _top_lists(t: CourierTables):

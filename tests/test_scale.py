@@ -30,3 +30,11 @@ def test_scaled_features_build_the_frame_once(spark, tables):
     out = M.scaled_features(feature_frame(tables.report), False)
     assert "Aggregate" not in plan(out) and "parquet" in plan(out).lower()
     assert out.count() == tables.report.count()
+
+
+def test_quantiles_clean_the_report_once(spark, tables, monkeypatch):
+    seen = []
+    check = R.daily.quantile_bound_check
+    monkeypatch.setattr(R.daily, "quantile_bound_check", lambda rows, *rest: seen.append(plan(rows)) or check(rows, *rest))
+    got = R._quantiles_by_day(tables).collect()
+    assert "Aggregate" not in seen[0] and got and all(r.p01_within and r.p50_within and r.p99_within for r in got)
