@@ -32,6 +32,11 @@ def test_scaled_features_build_the_frame_once(spark, tables):
     assert out.count() == tables.report.count()
 
 
+def test_partitions_of_a_fit_are_bounded():
+    assert [M.partitions_for(n) for n in (0, 50_000, 50_001, 430_000)] == [1, 1, 2, 9]
+    assert M.partitions_for(4_300_000) == 48 and M.partitions_for(173_000_000) == 173
+
+
 def test_quantiles_clean_the_report_once(spark, tables, monkeypatch):
     seen = []
     check = R.daily.quantile_bound_check
