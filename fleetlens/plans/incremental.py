@@ -9,7 +9,8 @@ day, a fingerprint of the raw rows that the partition was made from. A load
 2. compares it with the stored one; a day is new, changed, unchanged or removed;
 3. cleans the raw rows of new and changed days and overwrites their
    partitions (dynamic partition overwrite). Full-row cleaning never looks
-   across days, so the table equals a full clean;
+   across days, so the table equals a full clean. The shuffle that removes
+   copies is the only one: a task writes a file for each day it has rows of;
 4. drops the partitions of removed days and of days of which no row is left;
 5. stores the fingerprints, last: a load that breaks off before that is
    simply done again, since until then the changed days still count as changed.
@@ -35,6 +36,7 @@ from .tables import CourierTables
 CLEAN_SUFFIX = "_clean"
 STATE_SUFFIX = "_clean_days"
 DAY = "day"
+OPEN_DAYS = 16            # files that a task holds open
 STATUSES = ("new", "changed", "unchanged", "removed")
 REPORT = "table_name string, day int, status string, raw_rows bigint"
 
@@ -49,23 +51,29 @@ def day_fingerprints(raw: DataFrame, table: str) -> DataFrame:
     """(day, raw_rows, hash_sum, hash_xor, rule), one row per day with rows."""
     cols = sorted(raw.columns)
     # a NULL leaves Spark's hash as it is, so where the NULLs are is hashed too
-    nulls = F.concat_ws("", *[F.col(c).isNull().cast("int").cast("string") for c in cols])
-    return (raw.where(F.col(DAY).isNotNull()).select(DAY, F.xxhash64(*cols, nulls).alias("_h"))
-            .groupBy(DAY).agg(F.count(F.lit(1)).alias("raw_rows"), F.sum(F.col("_h").cast("decimal(28,0)")).alias("hash_sum"),
+    nulls = [F.col(c).isNull() for c in cols]
+    # the halves of a hash are summed as integers and put together once a day
+    high, low = F.sum(F.shiftright("_h", 32)), F.sum(F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF)))
+    whole = high.cast("decimal(28,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(28,0)")
+    return (raw.where(F.col(DAY).isNotNull()).select(DAY, F.xxhash64(*cols, *nulls).alias("_h"))
+            .groupBy(DAY).agg(F.count(F.lit(1)).alias("raw_rows"), whole.cast("decimal(38,0)").alias("hash_sum"),
                               F.bit_xor("_h").alias("hash_xor"))
             .withColumn("rule", F.lit(rule_signature(raw, table))))
 
 
 @contextmanager
 def dynamic_overwrite(spark: SparkSession):
-    """An overwrite replaces the partitions that it writes, and no others."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
+    """An overwrite replaces the partitions that it writes, and no others; a
+    task writes its days side by side, and sorts only what is of further days."""
+    keys = {"spark.sql.sources.partitionOverwriteMode": "dynamic", "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_DAYS)}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def partition_days(spark: SparkSession, database: str, name: str) -> set | None:
@@ -101,11 +109,12 @@ def load_table(raw: DataFrame, table: str, database: str) -> list[tuple]:
     redo = sorted(r.day for r in days if r.status in ("new", "changed"))
     gone = {r.day for r in days if r.status == "removed"} | ((held or set()) - {r.day for r in days})
     if held is None:
-        rows = clean_table(raw.where(F.col(DAY).isNotNull()), table).hint("rebalance", DAY)
-        catalog.write_table(rows, database, clean, partition_by=DAY)
+        rows = clean_table(raw.where(F.col(DAY).isNotNull()), table)
+        with dynamic_overwrite(spark):
+            catalog.write_table(rows, database, clean, partition_by=DAY)
     elif redo:
         written = Observation(f"days of {clean}")
-        rows = (clean_table(raw.where(F.col(DAY).isin(redo)), table).hint("rebalance", DAY)
+        rows = (clean_table(raw.where(F.col(DAY).isin(redo)), table)
                 .select(*catalog.table(spark, database, clean).columns)
                 .observe(written, F.collect_set(DAY).alias("days")))
         with dynamic_overwrite(spark):

@@ -184,8 +184,9 @@ def _incremental(t: CourierTables):
     """K-1, L-6: two incremental loads. Before the second, day 7 had not come,
     day 3 lacked half of its rows, and day 9 held rows that were withdrawn."""
     db, raw = _own_database(t, "fleetlens_incremental"), t.raw("courier_report")
-    early = raw.where("day <> 7 and not (day = 3 and no % 2 = 0)").union(
-        raw.where("day = 1").withColumn("day", F.lit(9).cast("int")).select(raw.columns))
+    days = F.explode(F.when(F.col("day") == 1, F.array(F.lit(1), F.lit(9))).otherwise(F.array("day")))
+    early = (raw.where("day <> 7 and not (day = 3 and no % 2 = 0)").withColumn("_day", days)     # one scan
+             .select(*[F.col("_day").alias("day") if c == "day" else F.col(c) for c in raw.columns]))
     incremental.incremental_clean(CourierTables(t.spark, {"courier_report": early}), db, ["courier_report"])
     status = incremental.incremental_clean(CourierTables(t.spark, {"courier_report": raw}), db, ["courier_report"])
     clean = catalog.table(t.spark, db, "courier_report_clean")

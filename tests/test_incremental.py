@@ -110,3 +110,29 @@ def test_audit_of_an_empty_table(spark, tables, scratch_dir):
     audit = Observation()
     audited_clean(tables.raw("courier_feedback").limit(0), "courier_feedback", audit).write.parquet(scratch_dir + "/none")
     assert tuple(audit_frame(spark, {"x": audit}).first()) == ("x", 0, 0, 0, 0, 0)
+
+
+def test_rows_are_shuffled_once(spark, tables, monkeypatch):
+    """The shuffle that removes copies is the only one of the rows, in a first load and in a later one."""
+    plans, db = [], "incremental_once"
+    raw = tables.raw("courier_report")
+    monkeypatch.setattr(I, "clean_table", lambda df, t: plans.append(clean_table(df, t)) or plans[-1])
+    real = catalog.write_table
+    def write(df, d, name, **k):
+        if name.endswith("_clean"):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1
+            plans.append("seen")
+        real(df, d, name, **k)
+    monkeypatch.setattr(I.catalog, "write_table", write)
+    load(spark, raw.where("day <> 7"), "courier_report", db)
+    assert "seen" in plans and load(spark, raw, "courier_report", db)[7] == "new"
+    assert same(clean_table(raw, "courier_report"), spark.table(f"{db}.courier_report_clean"))
+
+
+def test_fingerprint_is_the_sum_of_the_hashes(spark, tables):
+    raw = tables.raw("courier_feedback")
+    cols = sorted(raw.columns)
+    h = F.xxhash64(*cols, *[F.col(c).isNull() for c in cols])
+    want = {r.day: (r.n, int(r.s)) for r in raw.groupBy("day").agg(F.count("*").alias("n"), F.sum(h.cast("decimal(28,0)")).alias("s")).collect()}
+    assert {r.day: (r.raw_rows, int(r.hash_sum)) for r in I.day_fingerprints(raw, "courier_feedback").collect()} == want
