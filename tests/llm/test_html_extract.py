@@ -55,3 +55,50 @@ def test_odd_rows(spark):
     by = {r[0]: r[2] for r in got}
     assert by[1] == by[2] == by[None] == "" and by[4] == "a\nb" and by[5] == "deep" and by[6] == ("plain " * 50_000).strip()
     assert rows(H.extract(spark.createDataFrame([], kind))) == []
+
+
+def extracted(spark, pages):
+    rows_ = [(i, "http://h.example/%d" % i, "".join(f"<div>{t}</div>" if t[0] != "<" else t for t in parts)) for i, parts in enumerate(pages)]
+    got = H.extract(spark.createDataFrame(rows_, "page_id bigint, url string, html string")).collect()
+    return [r.text.split("\n") for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def test_lines_that_change_order_are_no_template(spark):
+    pages = [["Top", *(["X", "Y"] if i % 2 else ["Y", "X"]), f"Own {i}", "Bottom"] for i in range(8)]
+    assert extracted(spark, pages) == [p[1:-1] for p in pages]
+
+
+def test_tokens_are_told_apart_by_their_slot(spark):
+    """The line between Top and Mid is template; the same line after Mid comes on some pages only."""
+    pages = [["Top", "More", "Mid", f"Own {i}", *["More"] * (i % 3), "Bottom"] for i in range(9)]
+    assert extracted(spark, pages) == [p[3:-1] for p in pages]
+
+
+def test_pages_without_article_give_its_slot(spark):
+    pages = [["Start", f"<article><p>Own {i}</p></article>" if i < 6 else f"<p>Own {i}</p>", "Next", f"Side {i}", "End"] for i in range(8)]
+    assert extracted(spark, pages) == [[f"Own {i}"] for i in range(8)]
+
+
+def test_ranks_and_nesting():
+    assert H.ranks([1, 9, 2, 1, 2, 2, 1], {1: (1, 2), 2: (1, 2)}) == {1: (0, 1), 2: (0, 1)}
+    members = {t: (1, i, 3) for i, t in enumerate([1, 2, 3])} | {t: (4, i, 2) for i, t in enumerate([4, 5])}
+    assert H.nesting([1, 4, 5, 2, 3, 4, 5], members) == (set(), {(4, 1, 0)})
+    assert H.nesting([1, 4, 5, 2, 4, 5, 3], members)[1] == {(4, 1, 0), (4, 1, 1)}     # in two gaps
+    assert H.nesting([1, 4, 2, 5, 3], members)[0] == {4}
+    assert H.nesting([4, 1, 5, 2, 3], members)[0] == {4}
+    assert H.slots([1, 4, 7, 5, 2, 8, 3, 9], members) == [(), ((1, 0),), ((1, 0), (4, 0)), ((1, 0),), (), ((1, 1),), (), ()]
+
+
+def test_classes_in_two_gaps_or_crossing_are_dropped(spark):
+    """Pairs that cross on one page of many are not valid; those in two gaps are told apart."""
+    lines = [["A", "B", "C", "a", "b"]] * 9 + [["A", "a", "B", "b", "C"]]
+    tokens = [[ord(t) for t in x] for x in lines]
+    import json
+
+    import numpy as np
+    frame = spark.createDataFrame([("h", i + 1, bytearray(np.array(x, np.int64).tobytes()), bytearray(len(x))) for i, x in enumerate(tokens)],
+                                  "host string, mark bigint, tokens binary, kinds binary")
+    tried = spark.createDataFrame([("h", [65, 66, 67]), ("h", [97, 98])], "host string, tokens array<bigint>")
+    assert rows(H.nested(frame, None, tried)) == [("h", [65, 66, 67])]
+    template = H.Template(json.dumps({"classes": [{"round": 0, "tokens": [65, 66, 67]}]}))
+    assert template.told_apart([65, 97, 66, 97, 67])[1] != template.told_apart([65, 97, 66, 97, 67])[3]
