@@ -62,6 +62,28 @@ def test_join_is_lazy(spark, tables):
     sc._jsc.clearJobGroup()
 
 
+def test_boosted_trees_learn_the_same_from_summed_rows(spark, tables, monkeypatch):
+    """Rows of equal features are summed up for the boosted trees: what they say of the training rows stays as it is
+    (of two splits that part these alike, rounding decides, so other rows may go another way)."""
+    ff = feature_frame(tables.report)
+    for c in ("acceptance_time", "arrier_time", "pickup_time"):
+        ff = ff.withColumn(c, (F.col(c) / 240).cast("int") * 240)
+    data = M.with_split(ff).cache()
+    train_rows = data.where("split = 'train'")
+    cells = M.feature_cells(train_rows, False)
+    assert cells.agg(F.sum(M.CELL_ROWS)).first()[0] == train_rows.count() > M.ROWS_A_CELL * cells.count()
+    fits, gbt = [], M.GBTRegressor._fit
+    monkeypatch.setattr(M.GBTRegressor, "_fit", lambda est, df: fits.append(df.count()) or gbt(est, df))
+    summed = M.train(data, False)
+    monkeypatch.setattr(M, "ROWS_A_CELL", 10 ** 9)
+    whole = M.train(data, False)
+    assert fits == [cells.count(), train_rows.count()]
+    for name in M.MODEL_NAMES:
+        p = f"prediction_{name}"
+        both = [sorted(r[0] for r in m.predict(train_rows).select(p).collect()) for m in (summed, whole)]
+        assert max(abs(a - b) for a, b in zip(*both, strict=True)) < 1e-6, name
+
+
 REUSE = """
 import sys
 from fleetlens.plans import models as M
